@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import matching, of_change, time_bucket, tool_source
 from ..schemas import CHANGE_TIME, RESULT_STATUSES
+from .joins import join_unique
 
 # The change types that count as a triggered alert, in the two published metrics.
 NOTEBOOK_ALERT_CHANGES = ("update",)
@@ -122,4 +123,4 @@ def with_list_count(rows: DataFrame, owner: str = "user_id") -> DataFrame:
     as only the counts (one row per owner) are grouped.
     """
     sizes = rows.groupBy(owner).agg(_rows("list_count"))
-    return rows.join(sizes, owner)
+    return join_unique(rows, sizes, [owner])

@@ -17,6 +17,7 @@ from ..functions.predicates import matching, matching_given
 from ..functions.text import natural_id
 from ..schemas import ALERT_TYPES, APP_TOOLS, CHANGE_TIME, CHANGE_TYPE, SERVED_TOOL_PREFIX
 from .flights import keep_first
+from .joins import join_unique, look_up
 
 WATCH_COLUMNS = [
     "watch_id", "user_id", "flight_number", "flight_date", "origin_airport", "destination_airport",
@@ -38,29 +39,32 @@ def _change_rank() -> Column:
     return F.when(kind == "insert", 0).when(kind == "delete", 2).otherwise(1)
 
 
-def _newest_change(history: DataFrame, key: Sequence[str]) -> DataFrame:
-    captured = history.filter(F.col(CHANGE_TYPE) != "update_preimage")
-    return keep_first(captured, key, [F.desc(CHANGE_TIME), F.desc(_change_rank())])
-
+def current_state(history: DataFrame, key: Sequence[str], tie_break: Sequence[str] = ()) -> DataFrame:
+    """The newest row per key, without deleted keys and without the history columns.
 
-def current_state(history: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The newest row per key, without deleted keys and without the history columns."""
-    newest = _newest_change(history, key)
+    Of changes captured at one time the delete comes last, then updates, then the insert; columns of
+    ``tie_break`` (largest first) settle the rest.
+    """
+    newest = compact_history(history, key, tie_break)
     return newest.filter(F.col(CHANGE_TYPE) != "delete").drop(CHANGE_TYPE, CHANGE_TIME)
 
 
-def apply_changes(history: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
+def apply_changes(
+    history: DataFrame, changes: DataFrame, key: Sequence[str], tie_break: Sequence[str] = ()
+) -> DataFrame:
     """State after ``changes`` are appended to a history.
 
     ``history`` may be cut down to its newest row per key (see ``compact_history``) without a
     difference in the result.
     """
-    return current_state(history.unionByName(changes), key)
+    return current_state(history.unionByName(changes), key, tie_break)
 
 
-def compact_history(history: DataFrame, key: Sequence[str]) -> DataFrame:
+def compact_history(history: DataFrame, key: Sequence[str], tie_break: Sequence[str] = ()) -> DataFrame:
     """The newest history row per key, deletes included: all that later folds need."""
-    return _newest_change(history, key)
+    captured = history.filter(F.col(CHANGE_TYPE) != "update_preimage")
+    order = [F.desc(CHANGE_TIME), F.desc(_change_rank()), *[F.desc(name) for name in tie_break]]
+    return keep_first(captured, key, order)
 
 
 def changes(outcomes: DataFrame, columns: Sequence[str], change_type: str, at: str = "issued_at") -> DataFrame:
@@ -75,12 +79,6 @@ def rejections(outcomes: DataFrame) -> DataFrame:
     return outcomes.filter(F.col("error").isNotNull()).select("command_id", "error")
 
 
-def _with_known(commands: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """``_known`` marks the commands whose ``key`` is in ``table``, where it is unique."""
-    known = table.select(key, F.lit(True).alias("_known"))
-    return commands.join(known, key, "left").withColumn("_known", F.coalesce("_known", F.lit(False)))
-
-
 def _refusal(*checks: tuple[Column, str | Column]) -> Column:
     """Text of the first check that holds."""
     error = F.lit(None).cast("string")
@@ -106,11 +104,11 @@ def get_or_create_users(emails: DataFrame, users: DataFrame, at: Column) -> Data
     found = users.select(
         F.col("user_id").cast("string").alias("known_id"), "email", F.col("created_at").alias("known_since")
     )
-    return wanted.join(found, "email", "left").select(
+    return look_up(wanted, found, "email", ["known_id", "known_since"]).select(
         F.coalesce("known_id", natural_id("user", F.col("email"))).alias("user_id"),
         "email",
         F.coalesce("known_since", at).alias("created_at"),
-        F.col("known_id").isNull().alias("created"),
+        (~F.col("_known")).alias("created"),
     )
 
 
@@ -120,7 +118,7 @@ def get_or_create_users(emails: DataFrame, users: DataFrame, at: Column) -> Data
 def add_watches(commands: DataFrame, users: DataFrame) -> DataFrame:
     """Start watches. Commands: command_id, user_id, flight_number, flight_date, origin_airport,
     destination_airport, issued_at. The same flight may be watched any number of times."""
-    return _with_known(commands, users, "user_id").select(
+    return look_up(commands, users, "user_id").select(
         "command_id",
         "issued_at",
         natural_id("watch", F.col("command_id")).alias("watch_id"),
@@ -142,9 +140,8 @@ def add_watches(commands: DataFrame, users: DataFrame) -> DataFrame:
 
 def remove_watches(commands: DataFrame, watches: DataFrame) -> DataFrame:
     """Cancel watches, keeping their rows. Commands: command_id, watch_id, issued_at."""
-    current = watches.select(*WATCH_COLUMNS, F.lit(True).alias("_present"))
-    joined = commands.select("command_id", "watch_id", "issued_at").join(current, "watch_id", "left")
-    return joined.withColumn("_known", F.coalesce("_present", F.lit(False))).select(
+    asked = commands.select("command_id", "watch_id", "issued_at")
+    return look_up(asked, watches, "watch_id", [name for name in WATCH_COLUMNS if name != "watch_id"]).select(
         "command_id",
         "issued_at",
         *[name for name in WATCH_COLUMNS if name not in ("status", "updated_at")],
@@ -169,11 +166,9 @@ def create_trips(commands: DataFrame, users: DataFrame, watches: DataFrame) -> D
     unknown refuses the whole trip. Each listed watch is looked up once however many trips list it.
     """
     listed = commands.select("command_id", F.explode("watch_ids").alias("watch_id"))
-    unknown = (
-        listed.select("watch_id").distinct().join(watches.select("watch_id"), "watch_id", "left_anti")
-    )
+    unknown = look_up(listed.select("watch_id").dropna().distinct(), watches, "watch_id").filter(~F.col("_known"))
     broken = (
-        listed.join(unknown, "watch_id", "left_semi")
+        join_unique(listed, unknown.select("watch_id"), ["watch_id"], "left_semi")
         .select("command_id")
         .distinct()
         .withColumn("_unknown_watch", F.lit(True))
@@ -181,7 +176,7 @@ def create_trips(commands: DataFrame, users: DataFrame, watches: DataFrame) -> D
     has_null = F.exists("watch_ids", lambda watch: watch.isNull())
     repeated = F.size(F.array_distinct("watch_ids")) < F.size("watch_ids")
     return (
-        _with_known(commands, users, "user_id")
+        look_up(commands, users, "user_id")
         .join(broken, "command_id", "left")
         .select(
             "command_id",
@@ -217,9 +212,9 @@ def trip_flights_of(trips: DataFrame, links: DataFrame, watches: DataFrame, trip
     if trip_id is not None and wanted.isEmpty():
         raise ValueError(f"unknown trip {trip_id}")
     flights = watches.select("watch_id", "flight_number", "flight_date", "status")
+    named = join_unique(chosen, wanted.select("trip_id", "trip_name"), ["trip_id"])
     return (
-        chosen.join(flights, "watch_id")
-        .join(wanted.select("trip_id", "trip_name"), "trip_id")
+        join_unique(named, flights, ["watch_id"])
         .select("trip_id", "trip_name", "watch_id", "flight_number", "flight_date", "status")
         .orderBy("trip_id", "flight_date", "watch_id")
     )
@@ -232,7 +227,7 @@ def set_alerts(commands: DataFrame, watches: DataFrame) -> DataFrame:
     """Create alerts. Commands: command_id, watch_id, alert_type, threshold_minutes, issued_at."""
     kind = F.col("alert_type")
     wrong_kind = ~F.coalesce(kind.isin(*ALERT_TYPES), F.lit(False))
-    return _with_known(commands, watches, "watch_id").select(
+    return look_up(commands, watches, "watch_id").select(
         "command_id",
         "issued_at",
         natural_id("alert", F.col("command_id")).alias("alert_id"),
@@ -252,9 +247,8 @@ def set_alerts(commands: DataFrame, watches: DataFrame) -> DataFrame:
 
 def cancel_alerts(commands: DataFrame, alerts: DataFrame) -> DataFrame:
     """Cancel alerts. Commands: command_id, alert_id, issued_at."""
-    current = alerts.select(*ALERT_COLUMNS, F.lit(True).alias("_present"))
-    joined = commands.select("command_id", "alert_id", "issued_at").join(current, "alert_id", "left")
-    return joined.withColumn("_known", F.coalesce("_present", F.lit(False))).select(
+    asked = commands.select("command_id", "alert_id", "issued_at")
+    return look_up(asked, alerts, "alert_id", [name for name in ALERT_COLUMNS if name != "alert_id"]).select(
         "command_id",
         "issued_at",
         *[name for name in ALERT_COLUMNS if name != "status"],
@@ -268,10 +262,9 @@ def list_alerts(
 ) -> DataFrame:
     """Alerts with their flight and e-mail address, newest first; empty arguments filter nothing."""
     flights = matching_given(watches, user_id=user_id).select("watch_id", "user_id", "flight_number", "flight_date")
+    chosen = join_unique(matching_given(alerts, status=status), flights, ["watch_id"])
     return (
-        matching_given(alerts, status=status)
-        .join(flights, "watch_id")
-        .join(users.select("user_id", "email"), "user_id")
+        join_unique(chosen, users.select("user_id", "email"), ["user_id"])
         .select(
             "alert_id", "alert_type", "threshold_minutes", "status", "triggered_at", "created_at",
             "flight_number", "flight_date", "email",
@@ -294,7 +287,8 @@ def match_alerts(events: DataFrame, watches: DataFrame, alerts: DataFrame) -> Da
     )
     watched = watches.filter(F.col("status") == "active").select("watch_id", "flight_number", "flight_date")
     waiting = alerts.filter((F.col("status") == "active") & (F.col("alert_type") == "status_change"))
-    fired = waiting.join(watched.join(landings, ["flight_number", "flight_date"]).select("watch_id", "_at"), "watch_id")
+    landed = join_unique(watched, landings, ["flight_number", "flight_date"]).select("watch_id", "_at")
+    fired = join_unique(waiting, landed, ["watch_id"])
     return fired.withColumns({"status": F.lit("triggered"), "triggered_at": F.col("_at")}).select(
         *ALERT_COLUMNS, F.lit("update").alias(CHANGE_TYPE), F.col("_at").alias(CHANGE_TIME)
     )

@@ -18,6 +18,9 @@ def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+NO_ROWS = "no rows"
+
+
 def plain(value):
     """A value in a form that compares and sorts in both engines."""
     if value is None:
@@ -38,12 +41,24 @@ def rows_of(columns, rows) -> list[tuple]:
     return sorted((tuple(plain(row[i]) for i in order) for row in rows), key=repr)
 
 
+SPARK_TYPE = {
+    "VARCHAR": "string",
+    "INTEGER": "int",
+    "BIGINT": "bigint",
+    "DOUBLE": "double",
+    "BOOLEAN": "boolean",
+    "DATE": "date",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
 def difference(df, connection, sql: str) -> str | None:
     """What differs, or None."""
     result = connection.execute(sql)
     columns = [column[0] for column in result.description]
-    if sorted(df.columns) != sorted(columns):
-        return f"columns {sorted(df.columns)} != {sorted(columns)}"
+    theirs = {column[0]: SPARK_TYPE.get(str(column[1]), str(column[1])) for column in result.description}
+    if dict(df.dtypes) != theirs:
+        return f"schema {sorted(set(df.dtypes) ^ set(theirs.items()))}"
     wanted = rows_of(columns, result.fetchall())
     found = rows_of(df.columns, [tuple(row) for row in df.collect()])
     if len(found) != len(wanted):
@@ -51,4 +66,4 @@ def difference(df, connection, sql: str) -> str | None:
     for mine, theirs in zip(found, wanted):
         if mine != theirs:
             return f"{mine}\n!= {theirs}"
-    return None if wanted else "no rows"
+    return None if wanted else NO_ROWS
