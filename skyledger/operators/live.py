@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.once import with_once
 from ..schemas import AIRCRAFT
 from .flights import keep_first
 
@@ -29,8 +30,7 @@ def live_flight_status(landing: DataFrame) -> DataFrame:
     """
     aircraft = F.col("_aircraft")
     return (
-        landing.filter(F.col("found"))
-        .withColumn("_aircraft", parse_aircraft(F.col("raw_json")))
+        with_once(landing.filter(F.col("found")), _aircraft=parse_aircraft(F.col("raw_json")))
         .select(
             *FLIGHT_KEY,
             classify_status(aircraft["alt_baro"]).alias("status"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.once import with_once
 from ..schemas import AREA_LANDING, FLIGHT_LANDING, conform
 
 
@@ -20,23 +21,22 @@ def land_flight_polls(responses: DataFrame) -> DataFrame:
     missing, null or empty means not found, which is no error. A failed request, a body that is no
     JSON, and a body of another shape leave a ``poll_error``.
     """
-    parsed = responses.withColumn("_json", F.try_parse_json("body")).withColumn(
-        "_list", _aircraft_list(F.col("_json"))
-    )
+    parsed = with_once(responses, _json=F.try_parse_json("body"))
+    parsed = with_once(parsed, _list=_aircraft_list(F.col("_json")))
     found = F.col("request_error").isNull() & (F.coalesce(F.size("_list"), F.lit(0)) > 0)
     # Texts of JSON values that count as an empty answer.
-    empty = F.to_json("_json").isin("null", "false", "0", '""', "[]", "{}")
-    listless = F.schema_of_variant("_json").startswith("OBJECT") & F.coalesce(
-        F.to_json(F.try_variant_get("_json", "$.ac", "variant")).isin("null", "false", "0", '""', "{}"),
-        F.lit(True),
+    empty = ("null", "false", "0", '""', "[]", "{}")
+    listless = F.to_json("_json").isin(*empty) | (
+        F.schema_of_variant("_json").startswith("OBJECT")
+        & F.coalesce(F.to_json(F.try_variant_get("_json", "$.ac", "variant")).isin(*empty), F.lit(True))
     )
     error = (
         F.when(F.col("request_error").isNotNull(), F.col("request_error"))
         .when(F.col("_json").isNull(), F.lit("body is not valid JSON"))
-        .when(F.col("_list").isNull() & ~empty & ~listless, F.lit("body holds no aircraft list"))
+        .when(F.col("_list").isNull() & ~listless, F.lit("body holds no aircraft list"))
     )
-    first = F.to_json(F.try_variant_get("_json", "$.ac[0]", "variant"))
-    landed = parsed.withColumns({"found": found, "raw_json": F.when(found, first), "poll_error": error})
+    first = F.to_json(F.element_at("_list", 1))
+    landed = with_once(parsed, found=found, raw_json=F.when(found, first), poll_error=error)
     return conform(landed, FLIGHT_LANDING)
 
 

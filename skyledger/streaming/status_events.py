@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,6 +17,7 @@ from ..schemas import STATUS_EVENTS
 STATE_TTL_MS = 4 * 60 * 60 * 1000
 
 _READING = "flight_number string, flight_date date, status string, last_updated timestamp"
+_EVENT_COLUMNS = [column.split()[0] for column in STATUS_EVENTS.split(", ")]
 # Names of the two changes between two statuses; any other change is a status_change.
 _NAMED_CHANGES = {("on_ground", "in_air"): "departure", ("in_air", "on_ground"): "landing"}
 
@@ -45,35 +47,49 @@ def thin_readings(status: DataFrame, slice_seconds: float = 60) -> DataFrame:
     return sliced.repartition(*FLIGHT_KEY, "_slice").mapInPandas(_drop_repeats, _READING)
 
 
+def _load(text: str, expired_before_ms: int) -> dict[tuple, tuple[str, int]]:
+    """Last status and time seen per flight, without the flights that have expired."""
+    return {
+        (number, date): (status, seen) for number, date, status, seen in json.loads(text) if seen > expired_before_ms
+    }
+
+
+def _dump(last: dict[tuple, tuple[str, int]]) -> str:
+    return json.dumps([[*flight, *entry] for flight, entry in last.items()])
+
+
 def _follow(ttl_ms: int, event_time: bool):
-    def follow(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Follows the flights of one bucket; the state is the last status of each of them."""
+
+    def follow(_, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(batches), ignore_index=True)
-        rows = rows.sort_values(["last_updated", "status"], kind="stable")
-        known = state.get[0] if state.exists else None
-        previous = rows["status"].shift(1)
-        previous.iloc[0] = known
-        state.update((rows["status"].iloc[-1],))
+        now_ms = state.getCurrentWatermarkMs() if event_time else state.getCurrentProcessingTimeMs()
+        last = _load(state.get[0], now_ms - ttl_ms) if state.exists else {}
+        readings: list[tuple] = []
+        for batch in batches:
+            at = batch["last_updated"].to_numpy("datetime64[us]").astype("int64").tolist()
+            readings += zip(at, batch["status"].tolist(), batch["flight_number"].tolist(), batch["date"].tolist())
+        readings.sort(key=lambda reading: reading[:2])
+        events = []
+        for at, status, number, date in readings:
+            previous = last.get((number, date), (None,))[0]
+            if previous is not None and status != previous:
+                kind = _NAMED_CHANGES.get((previous, status), "status_change")
+                events.append((number, date, kind, at, previous, status))
+            last[number, date] = (status, at // 1000 if event_time else now_ms)
+        state.update((_dump(last),))
         if event_time:
-            newest = int(rows["last_updated"].max().timestamp() * 1000)
-            state.setTimeoutTimestamp(max(newest + ttl_ms, state.getCurrentWatermarkMs() + 1))
+            newest_ms = max(seen for _, seen in last.values())
+            state.setTimeoutTimestamp(max(newest_ms + ttl_ms, now_ms + 1))
         else:
             state.setTimeoutDuration(ttl_ms)
-        changed = previous.notna() & (previous != rows["status"])
-        if changed.any():
-            old, new = previous[changed], rows.loc[changed, "status"]
-            yield pd.DataFrame(
-                {
-                    "flight_number": key[0],
-                    "flight_date": key[1],
-                    "event_type": [_NAMED_CHANGES.get(pair, "status_change") for pair in zip(old, new)],
-                    "event_timestamp": rows.loc[changed, "last_updated"],
-                    "previous_status": old,
-                    "new_status": new,
-                }
-            )
+        if events:
+            found = pd.DataFrame(events, columns=_EVENT_COLUMNS)
+            found["flight_date"] = pd.to_datetime(found["flight_date"]).dt.date
+            found["event_timestamp"] = pd.to_datetime(found["event_timestamp"], unit="us")
+            yield found
 
     return follow
 
@@ -83,6 +99,7 @@ def flight_status_events(
     ttl_ms: int = STATE_TTL_MS,
     watermark: str | None = None,
     slice_seconds: float = 60,
+    buckets: int = 1024,
 ) -> DataFrame:
     """Every change of a flight's status against its last known one, across micro-batches.
 
@@ -91,6 +108,10 @@ def flight_status_events(
     readings for ``ttl_ms`` of processing time is forgotten. With ``watermark`` readings older than
     it are dropped, and forgetting goes by event time.
 
+    Flights are followed in ``buckets`` groups, as calling Python once per flight costs more than the
+    work itself. The number bounds the tasks that can run at a time and must stay the same for the
+    life of a checkpoint.
+
     Run it with a processing-time trigger: a pending timeout keeps an ``availableNow`` run alive. A
     micro-batch bounds what one task holds, so bound it at the source (files or bytes per trigger).
     """
@@ -99,6 +120,11 @@ def flight_status_events(
     if watermark:
         readings = readings.withWatermark("last_updated", watermark)
         timeout = GroupStateTimeout.EventTimeTimeout
-    return readings.groupBy(*FLIGHT_KEY).applyInPandasWithState(
-        _follow(ttl_ms, watermark is not None), STATUS_EVENTS, "last_status string", "append", timeout
+    bucket = F.pmod(F.xxhash64(*FLIGHT_KEY), F.lit(buckets)).cast("int")
+    keyed = readings.select(
+        bucket.alias("bucket"), "flight_number", F.col("flight_date").cast("string").alias("date"),
+        "status", "last_updated",
+    )
+    return keyed.groupBy("bucket").applyInPandasWithState(
+        _follow(ttl_ms, watermark is not None), STATUS_EVENTS, "last_statuses string", "append", timeout
     )
