@@ -23,6 +23,13 @@ def matching_given(df: DataFrame, **wanted: Any) -> DataFrame:
     return matching(df, **{name: value or None for name, value in wanted.items()})
 
 
+def present(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows in which no given column is NULL, as one filter per column that scans understand."""
+    for name in columns:
+        df = df.filter(F.col(name).isNotNull())
+    return df
+
+
 def of_change(df: DataFrame, *change_types: str) -> DataFrame:
     """History rows of the given change types."""
     return df.filter(F.col(CHANGE_TYPE).isin(*change_types))

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.predicates import present
 from ..schemas import ALERT_STATUSES, ALERT_TYPES, RESULT_STATUSES, WATCH_STATUSES
 
 
@@ -79,14 +80,14 @@ def _count(name: str, rule: str, broken: DataFrame, amount) -> DataFrame:
 
 def _unique_rule(name: str, table: DataFrame, key: tuple[str, ...]) -> DataFrame:
     """Keys that occur more than once; keys with a missing part are not compared."""
-    repeated = table.dropna(subset=list(key)).groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    repeated = present(table, *key).groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return _count(name, f"unique {', '.join(key)}", repeated, F.count(F.lit(1)))
 
 
 def _reference_rule(name: str, table: DataFrame, column: str, target_name: str, target: DataFrame) -> DataFrame:
     """Rows that refer to nothing. Counted per value before the join, so a frequent value is one row."""
     key = RULES[target_name].unique[0][0]
-    used = table.dropna(subset=[column]).groupBy(F.col(column).alias(key)).agg(F.count(F.lit(1)).alias("n"))
+    used = present(table, column).groupBy(F.col(column).alias(key)).agg(F.count(F.lit(1)).alias("n"))
     orphans = used.join(target.select(key), key, "left_anti")
     return _count(name, f"references {column}", orphans, F.sum("n"))
 

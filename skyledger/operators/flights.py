@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.predicates import present
 from ..schemas import MIN_SAMPLE, ON_TIME_MINUTES, FlightColumns
 
 
@@ -57,7 +58,7 @@ def clean_flights(
     A missing cancel flag counts as not cancelled. Select only the columns needed downstream
     before calling this: deduplication orders by every column it is given.
     """
-    typed = df.dropna(subset=[columns.carrier, columns.origin, columns.dest]).withColumns(
+    typed = present(df, columns.carrier, columns.origin, columns.dest).withColumns(
         {
             columns.arr_delay: to_double(columns.arr_delay, strict),
             columns.cancelled: to_double(columns.cancelled, strict),

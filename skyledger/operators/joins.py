@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.predicates import present
+
 
 def own_shuffle(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Spread rows by a hash of the key, so that a join by the key has to shuffle them itself."""
@@ -30,6 +32,6 @@ def look_up(left: DataFrame, table: DataFrame, key: str, columns: Sequence[str]
     Meant for a batch of requests against a large table: the table is first cut down to the keys
     asked for, by a join that can broadcast the keys when they are measured to be few.
     """
-    asked = left.select(key).dropna().distinct()
+    asked = present(left.select(key), key).distinct()
     found = table.select(key, *columns).join(asked, key, "left_semi").withColumn("_known", F.lit(True))
     return join_unique(left, found, [key], "left").withColumn("_known", F.coalesce("_known", F.lit(False)))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import matching, of_change, time_bucket, tool_source
+from ..functions.predicates import matching, of_change, present, time_bucket, tool_source
 from ..schemas import CHANGE_TIME, RESULT_STATUSES
 from .joins import join_unique
 
@@ -60,8 +60,7 @@ def most_watched_routes(watches: DataFrame, n: int = 20) -> DataFrame:
     """The ``n`` routes added most often, with known ends; equal counts are ordered by route."""
     route = ["origin_airport", "destination_airport"]
     return (
-        of_change(watches, "insert")
-        .dropna(subset=route)
+        present(of_change(watches, "insert"), *route)
         .groupBy(*route)
         .agg(_rows("watch_count"))
         .orderBy(F.desc("watch_count"), *route)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import matching, matching_given
+from ..functions.predicates import matching, matching_given, present
 from ..functions.text import natural_id
 from ..schemas import ALERT_TYPES, APP_TOOLS, CHANGE_TIME, CHANGE_TYPE, SERVED_TOOL_PREFIX
 from .flights import keep_first
@@ -100,7 +100,7 @@ def get_or_create_users(emails: DataFrame, users: DataFrame, at: Column) -> Data
 
     Output: user_id (text), email, created_at, created.
     """
-    wanted = emails.select("email").dropna().distinct()
+    wanted = present(emails.select("email"), "email").distinct()
     found = users.select(
         F.col("user_id").cast("string").alias("known_id"), "email", F.col("created_at").alias("known_since")
     )
@@ -166,7 +166,7 @@ def create_trips(commands: DataFrame, users: DataFrame, watches: DataFrame) -> D
     unknown refuses the whole trip. Each listed watch is looked up once however many trips list it.
     """
     listed = commands.select("command_id", F.explode("watch_ids").alias("watch_id"))
-    unknown = look_up(listed.select("watch_id").dropna().distinct(), watches, "watch_id").filter(~F.col("_known"))
+    unknown = look_up(present(listed.select("watch_id"), "watch_id").distinct(), watches, "watch_id").filter(~F.col("_known"))
     broken = (
         join_unique(listed, unknown.select("watch_id"), ["watch_id"], "left_semi")
         .select("command_id")
