@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.live import live_flight_status
 from ..sources.landing import land_flight_polls
+from ..sources.tables import read_folder_stream, read_landing_stream
 from ..streaming.status_events import STATE_TTL_MS, flight_status_events
 
 
@@ -14,6 +16,27 @@ def status_of_responses(responses: DataFrame) -> DataFrame:
     return live_flight_status(land_flight_polls(responses))
 
 
-def events_of_landing(landing: DataFrame, ttl_ms: int = STATE_TTL_MS, watermark: str | None = None) -> DataFrame:
-    """Status events of a stream of landing rows."""
-    return flight_status_events(live_flight_status(landing), ttl_ms, watermark)
+def start_live_job(
+    spark: SparkSession,
+    landing_table: str,
+    root: str,
+    every: str = "10 seconds",
+    ttl_ms: int = STATE_TTL_MS,
+    watermark: str | None = None,
+) -> list[StreamingQuery]:
+    """Start the two streams: landing rows to ``live_flight_status``, and these to ``flight_status_events``.
+
+    Both are parquet folders below ``root``, written exactly once; checkpoints lie next to them.
+    """
+    root = root.rstrip("/")
+
+    def start(df: DataFrame, name: str) -> StreamingQuery:
+        writer = df.writeStream.queryName(name).option("checkpointLocation", f"{root}/_checkpoints/{name}")
+        return writer.partitionBy("flight_date").trigger(processingTime=every).format("parquet").start(f"{root}/{name}")
+
+    status = live_flight_status(read_landing_stream(spark, landing_table))
+    folder = f"{root}/live_flight_status"
+    spark.createDataFrame([], status.schema).write.mode("append").parquet(folder)
+    snapshots = read_folder_stream(spark, folder, status.schema, partition_by=["flight_date"])
+    events = flight_status_events(snapshots, ttl_ms, watermark)
+    return [start(status, "live_flight_status"), start(events, "flight_status_events")]

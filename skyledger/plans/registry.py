@@ -12,7 +12,7 @@ from ..functions.text import is_valid_email
 from ..operators import audit, chunking, flights, live, metrics, retrieval, state, transcripts
 from ..session import work_dir
 from ..sources import csv_flights, documents, landing, tables
-from ..streaming.run import drain
+from ..streaming.run import drain, stream_session
 from ..streaming.status_events import flight_status_events
 from . import historical, live as live_plan
 from .adapters import oracle, table
@@ -275,7 +275,7 @@ def status_transitions(spark, sf_dir):
     return live.status_transitions(_status(spark, sf_dir)).withColumns(naive("event_timestamp"))
 
 
-def _run_event_stream(spark, sf_dir, watermark=None) -> DataFrame:
+def _run_event_stream(spark, sf_dir) -> DataFrame:
     """Land the responses in three appends by time of day, and follow them as a stream of batches.
 
     The files of an append are split by flight, so every flight is read in time order.
@@ -287,8 +287,8 @@ def _run_event_stream(spark, sf_dir, watermark=None) -> DataFrame:
         hour = F.hour("ingested_at")
         part = landed.filter((hour >= start) & (hour < end))
         part.repartition(files, "flight_number", "flight_date").write.mode("append").parquet(f"{root}/landing")
-    stream = tables.read_folder_stream(spark, f"{root}/landing", landed.schema, files_per_batch=files)
-    events = flight_status_events(live.live_flight_status(stream), watermark=watermark)
+    stream = tables.read_folder_stream(stream_session(spark), f"{root}/landing", landed.schema, files_per_batch=files)
+    events = flight_status_events(live.live_flight_status(stream))
     running = (
         events.writeStream.option("checkpointLocation", f"{root}/checkpoint")
         .trigger(processingTime="0 seconds")

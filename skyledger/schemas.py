@@ -40,11 +40,6 @@ DELAY_STATS = "route string, carrier string, avg_delay_minutes double, on_time_p
 FLIGHT_STATUS = (
     "flight_number string, flight_date date, status string, delay_minutes int, gate string, last_updated timestamp"
 )
-STATUS_EVENTS = (
-    "flight_number string, flight_date date, event_type string, event_timestamp timestamp, "
-    "previous_status string, new_status string"
-)
-CHUNKS = "chunk_id string, source_document string, chunk_position int, section string, chunk_text string"
 
 # Element types of a parsed document, and those that open a section.
 CONTENT_TYPES = ("text", "title", "section_header", "caption", "table")

@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 
 from ..schemas import conform
 
+# Bounds a micro-batch, so that a stream started on a large backlog reads it piece by piece.
+FILES_PER_BATCH = 1000
+
 
 def append_table(
     df: DataFrame, table: str, schema: T.StructType, partition_by: Sequence[str] = ()
@@ -23,18 +26,25 @@ def append_table(
     writer.saveAsTable(table)
 
 
-def read_landing_stream(spark: SparkSession, table: str) -> DataFrame:
+def read_landing_stream(spark: SparkSession, table: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """Unbounded read of a table that other jobs append to."""
-    return spark.readStream.table(table)
+    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).table(table)
 
 
 def read_folder_stream(
-    spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int | None = None
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    files_per_batch: int = FILES_PER_BATCH,
+    partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Unbounded read of a folder of parquet files; ``files_per_batch`` bounds a micro-batch."""
-    reader = spark.readStream.schema(schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    """Unbounded read of a folder of parquet files, which may be partitioned by ``partition_by``.
+
+    A stream binds the columns of its batches by position, and a batch has the partition columns
+    last, so the schema must have them last as well.
+    """
+    fields = sorted(schema.fields, key=lambda field: field.name in partition_by)
+    reader = spark.readStream.schema(T.StructType(fields)).option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(folder)
 
 

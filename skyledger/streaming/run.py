@@ -1,12 +1,26 @@
-"""Run a streaming query over the input there is, then stop it."""
+"""Sessions for streams, and running a stream over the input there is."""
 
 from __future__ import annotations
 
 import time
 
+from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 
+def stream_session(spark: SparkSession) -> SparkSession:
+    """A session whose shuffles have two partitions per core at most.
+
+    Shuffles of a stream are not resized at run time, and the first batch fixes their number for the
+    life of the checkpoint.
+    """
+    session = spark.newSession()
+    wanted = 2 * spark.sparkContext.defaultParallelism
+    if int(session.conf.get("spark.sql.shuffle.partitions")) > wanted:
+        session.conf.set("spark.sql.shuffle.partitions", wanted)
+    return session
+
+
 def drain(query: StreamingQuery, rows: int, timeout_seconds: float = 300) -> None:
     """Stop ``query`` once it has committed ``rows`` input rows and then idles.
 

@@ -10,16 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.live import FLIGHT_KEY, time_slice
-from ..schemas import STATUS_EVENTS
+from ..operators.live import FLIGHT_KEY, event_type, time_slice
 
 # Fixed value: a flight without readings for four hours is forgotten.
 STATE_TTL_MS = 4 * 60 * 60 * 1000
 
 _READING = "flight_number string, flight_date date, status string, last_updated timestamp"
-_EVENT_COLUMNS = [column.split()[0] for column in STATUS_EVENTS.split(", ")]
-# Names of the two changes between two statuses; any other change is a status_change.
-_NAMED_CHANGES = {("on_ground", "in_air"): "departure", ("in_air", "on_ground"): "landing"}
+_CHANGE = "flight_number string, date string, at timestamp, previous string, new string"
 
 
 def _drop_repeats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -72,12 +69,11 @@ def _follow(ttl_ms: int, event_time: bool):
             at = batch["last_updated"].to_numpy("datetime64[us]").astype("int64").tolist()
             readings += zip(at, batch["status"].tolist(), batch["flight_number"].tolist(), batch["date"].tolist())
         readings.sort(key=lambda reading: reading[:2])
-        events = []
+        changes = []
         for at, status, number, date in readings:
             previous = last.get((number, date), (None,))[0]
             if previous is not None and status != previous:
-                kind = _NAMED_CHANGES.get((previous, status), "status_change")
-                events.append((number, date, kind, at, previous, status))
+                changes.append((number, date, at, previous, status))
             last[number, date] = (status, at // 1000 if event_time else now_ms)
         state.update((_dump(last),))
         if event_time:
@@ -85,11 +81,9 @@ def _follow(ttl_ms: int, event_time: bool):
             state.setTimeoutTimestamp(max(newest_ms + ttl_ms, now_ms + 1))
         else:
             state.setTimeoutDuration(ttl_ms)
-        if events:
-            found = pd.DataFrame(events, columns=_EVENT_COLUMNS)
-            found["flight_date"] = pd.to_datetime(found["flight_date"]).dt.date
-            found["event_timestamp"] = pd.to_datetime(found["event_timestamp"], unit="us")
-            yield found
+        if changes:
+            found = pd.DataFrame(changes, columns=["flight_number", "date", "at", "previous", "new"])
+            yield found.assign(at=pd.to_datetime(found["at"], unit="us"))
 
     return follow
 
@@ -125,6 +119,14 @@ def flight_status_events(
         bucket.alias("bucket"), "flight_number", F.col("flight_date").cast("string").alias("date"),
         "status", "last_updated",
     )
-    return keyed.groupBy("bucket").applyInPandasWithState(
-        _follow(ttl_ms, watermark is not None), STATUS_EVENTS, "last_statuses string", "append", timeout
+    changes = keyed.groupBy("bucket").applyInPandasWithState(
+        _follow(ttl_ms, watermark is not None), _CHANGE, "last_statuses string", "append", timeout
+    )
+    return changes.select(
+        "flight_number",
+        F.col("date").cast("date").alias("flight_date"),
+        event_type(F.col("previous"), F.col("new")).alias("event_type"),
+        F.col("at").alias("event_timestamp"),
+        F.col("previous").alias("previous_status"),
+        F.col("new").alias("new_status"),
     )

@@ -3,7 +3,6 @@ from __future__ import annotations
 import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from skyledger.functions.lookups import create_lookup_functions
 from skyledger.operators.flights import clean_flights, coverage_check, dedup_flights, delay_stats, file_coverage

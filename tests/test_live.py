@@ -4,7 +4,6 @@ import datetime
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from skyledger.operators.live import flight_status_of, latest_positions, live_flight_status, status_transitions
 from skyledger.schemas import FLIGHT_LANDING

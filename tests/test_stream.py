@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import datetime
 import random
 import time
 

@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import datetime
 
-import pytest
 from pyspark.sql import functions as F
 
 from skyledger.operators import metrics, transcripts
