@@ -20,11 +20,6 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_WORD), F.lit(0))
 
 
-def word_count(text: Column) -> Column:
-    """Number of words, without building them."""
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(_WORD))
-
-
 def is_valid_email(email: Column) -> Column:
     """Whether a text has the form of an e-mail address; NULL is not one.
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import strip_space, word_count, words
+from ..functions.once import with_once
+from ..functions.text import strip_space, words
 from ..schemas import CONTENT_TYPES, FIRST_SECTION, HEADING_TYPES, MAX_CHUNK_WORDS
 
 _INT_MAX = 2**31 - 1
@@ -57,21 +58,23 @@ def chunk_by_section(
     ``max_words`` words at most.
     """
     is_heading = F.coalesce(F.col("element_type").isin(*HEADING_TYPES), F.lit(False))
-    heading_name = strip_space(F.col("content"))
-    blocked = elements.select(
+    worded = with_once(
+        elements, heading=is_heading, words=F.when(is_heading, F.array()).otherwise(words(F.col("content")))
+    )
+    blocked = worded.select(
         "source_document",
         F.coalesce(F.floor(F.col("element_id") / block_elements), F.lit(_INT_MAX)).cast("int").alias("block"),
         "element_id",
         "element_type",
-        "content",
-        is_heading.alias("heading"),
-        F.when(is_heading & (heading_name != ""), heading_name).alias("name"),
-        F.when(is_heading, 0).otherwise(word_count(F.col("content"))).cast("long").alias("length"),
+        "heading",
+        F.when(F.col("heading"), F.nullif(strip_space(F.col("content")), F.lit(""))).alias("name"),
+        F.array_join("words", " ").alias("text"),
+        F.size("words").cast("long").alias("length"),
     )
 
     # Inside a block.
     order = W.partitionBy("source_document", "block").orderBy(
-        F.col("element_id").asc_nulls_last(), "element_type", "content"
+        F.col("element_id").asc_nulls_last(), "element_type", "name", "text"
     )
     so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
     earlier = order.rowsBetween(W.unboundedPreceding, -1)
@@ -159,11 +162,11 @@ def chunk_by_section(
             ).alias("section_chunk"),
             (F.col("words_0") + F.col("words_before") - section_start).alias("offset"),
             "length",
-            words(F.col("content")).alias("words"),
+            "text",
         )
     )
 
-    # Cut at chunk borders, then put the chunks together.
+    # Cut at chunk borders, then put the chunks together. Most elements lie within one chunk.
     end = F.col("offset") + F.col("length")
     piece_start = F.greatest(F.col("offset"), F.col("piece") * max_words)
     piece_end = F.least(end, (F.col("piece") + 1) * max_words)
@@ -177,14 +180,18 @@ def chunk_by_section(
         "section",
         (F.col("section_chunk") + F.col("piece")).cast("int").alias("chunk_position"),
         piece_start.alias("at"),
-        F.array_join(
-            F.slice(
-                "words",
-                (piece_start - F.col("offset") + 1).cast("int"),
-                (piece_end - piece_start).cast("int"),
-            ),
-            " ",
-        ).alias("part"),
+        F.when(piece_end - piece_start == F.col("length"), F.col("text"))
+        .otherwise(
+            F.array_join(
+                F.slice(
+                    F.split("text", " "),
+                    (piece_start - F.col("offset") + 1).cast("int"),
+                    (piece_end - piece_start).cast("int"),
+                ),
+                " ",
+            )
+        )
+        .alias("part"),
     )
     return (
         pieces.groupBy("source_document", "chunk_position")
