@@ -334,8 +334,31 @@ elements AS (
     FROM lines)"""
 
 
-def _chunks_sql(max_words: int) -> str:
-    return f"""{_LINES}, sections AS (
+# Every tag that is left after the first step starts a new element, named by that tag.
+_PAGES = r"""blocks AS (
+    SELECT url AS source_document, string_split(regexp_replace(regexp_replace(html,
+               '<script.*?</script>|<style.*?</style>|<!--.*?-->|<!DOCTYPE[^>]*>|</?(a|b|meta|html|head)( [^>]*)?>', '', 'gs'),
+               '<br>', ' ', 'g'), '<') AS parts
+    FROM {pages}),
+tagged AS (
+    SELECT source_document, pos, regexp_extract(part, '^/?[a-z0-9]+') AS tag,
+           trim(regexp_replace(replace(replace(replace(replace(
+               CASE WHEN contains(part, '>') THEN regexp_replace(part, '^[^>]*>', '') ELSE part END,
+               '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', ' ', 'g')) AS content
+    FROM (SELECT source_document, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos FROM blocks)),
+framed AS (
+    SELECT *, count(*) FILTER (WHERE tag IN ('nav', 'footer')) OVER so_far
+              - count(*) FILTER (WHERE tag IN ('/nav', '/footer')) OVER so_far AS in_margin
+    FROM tagged WINDOW so_far AS (PARTITION BY source_document ORDER BY pos)),
+elements AS (
+    SELECT source_document, CAST(row_number() OVER (PARTITION BY source_document ORDER BY pos) - 1 AS INTEGER) AS element_id,
+           CASE WHEN in_margin > 0 THEN 'page_footer' WHEN tag IN ('title', 'h1') THEN 'title' ELSE 'text' END AS element_type,
+           content
+    FROM framed WHERE content <> '')"""
+
+
+def _chunks_sql(max_words: int, elements: str = _LINES) -> str:
+    return f"""{elements}, sections AS (
     SELECT *, element_type IN ('title', 'section_header') AS heading,
            sum(CASE WHEN element_type IN ('title', 'section_header') THEN 1 ELSE 0 END)
                OVER (PARTITION BY source_document ORDER BY element_id) AS section_no
@@ -405,12 +428,12 @@ def _pages(spark, sf_dir):
     return documents.parse_html(table(spark, sf_dir, "pages").select(F.col("url").alias("path"), "html"))
 
 
-@query()
+@query(f"WITH {_PAGES} SELECT * FROM elements WHERE element_type <> 'page_footer'")
 def page_elements(spark, sf_dir):
     return chunking.flatten_elements(_pages(spark, sf_dir))
 
 
-@query()
+@query(f"WITH {_chunks_sql(1200, _PAGES)} SELECT * FROM chunks")
 def page_section_chunks(spark, sf_dir):
     return document_chunks(_pages(spark, sf_dir))
 
