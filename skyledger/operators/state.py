@@ -45,8 +45,12 @@ def current_state(history: DataFrame, key: Sequence[str], tie_break: Sequence[st
     Of changes captured at one time the delete comes last, then updates, then the insert; columns of
     ``tie_break`` (largest first) settle the rest.
     """
-    newest = compact_history(history, key, tie_break)
-    return newest.filter(F.col(CHANGE_TYPE) != "delete").drop(CHANGE_TYPE, CHANGE_TIME)
+    return live_rows(compact_history(history, key, tie_break))
+
+
+def live_rows(compacted: DataFrame) -> DataFrame:
+    """State held by a compacted history."""
+    return compacted.filter(F.col(CHANGE_TYPE) != "delete").drop(CHANGE_TYPE, CHANGE_TIME)
 
 
 def apply_changes(
@@ -67,6 +71,21 @@ def compact_history(history: DataFrame, key: Sequence[str], tie_break: Sequence[
     return keep_first(captured, key, order)
 
 
+def fold_changes(
+    compacted: DataFrame, changes: DataFrame, key: Sequence[str], tie_break: Sequence[str] = ()
+) -> DataFrame:
+    """The compacted history after a batch of changes; publish it and fold the next batch into it.
+
+    Only keys that the batch changes are folded. The other rows pass through, without a shuffle when
+    the changed keys are measured to be few enough to broadcast.
+    """
+    key = list(key)
+    changed = changes.select(*key).distinct()
+    touched = compacted.join(changed, key, "left_semi")
+    untouched = compacted.join(changed, key, "left_anti")
+    return untouched.unionByName(compact_history(touched.unionByName(changes), key, tie_break))
+
+
 def changes(outcomes: DataFrame, columns: Sequence[str], change_type: str, at: str = "issued_at") -> DataFrame:
     """History rows of the commands that took effect."""
     return outcomes.filter(F.col("error").isNull()).select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lookups import create_lookup_functions
@@ -36,7 +36,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def naive(*names: str) -> dict[str, F.Column]:
+def naive(*names: str) -> dict[str, Column]:
     """Timestamps without zone, as the test tables hold them."""
     return {name: F.col(name).cast("timestamp_ntz") for name in names}
 
@@ -523,6 +523,14 @@ def apply_changes(spark, sf_dir):
     return state.apply_changes(history, rows.filter(F.col("_timestamp") >= half), ["user_id"])
 
 
+@query(_PROFILES)
+def fold_changes(spark, sf_dir):
+    rows = table(spark, sf_dir, "profile_history")
+    compacted = state.compact_history(rows.filter(F.col("event_type") == "view"), ["user_id"])
+    folded = state.fold_changes(compacted, rows.filter(F.col("event_type") != "view"), ["user_id"])
+    return state.live_rows(folded)
+
+
 @query("""SELECT coalesce(CAST(u.user_id AS VARCHAR), sha256(concat('user|', e.email))) AS user_id, e.email,
                  coalesce(u.created_at, TIMESTAMP '2024-01-01 00:00:00') AS created_at, u.user_id IS NULL AS created
           FROM (SELECT DISTINCT email FROM {incoming_emails}) e LEFT JOIN {users} u ON u.email = e.email""")

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ELEMENTS = "array<struct<id int, type string, content string>>"
@@ -102,12 +102,13 @@ def _read_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"path": batch["path"], "elements": elements})
 
 
-def scan_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Every file of a folder as (path, content)."""
-    return spark.read.format("binaryFile").load(folder).select("path", "content")
+def scan_documents(spark: SparkSession, folder: str, names: str = "*") -> DataFrame:
+    """Every file of a folder whose name matches the glob ``names``, as (path, content)."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(folder)
+    return files.select("path", "content")
 
 
-def _as_document(elements) -> F.Column:
+def _as_document(elements: Column) -> Column:
     return F.parse_json(F.to_json(F.struct(F.struct(elements.alias("elements")).alias("document"))))
 
 
@@ -123,3 +124,10 @@ def parse_html(pages: DataFrame) -> DataFrame:
 def parse_json_documents(documents: DataFrame) -> DataFrame:
     """(path, content as JSON text) to (path, parsed); bad JSON gives a NULL variant."""
     return documents.select("path", F.try_parse_json(F.col("content").cast("string")).alias("parsed"))
+
+
+def parse_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, parsed) of the HTML pages and parsed JSON documents of a folder; each file is read once."""
+    pages = scan_documents(spark, folder, "*.{html,htm}")
+    parsed = parse_html(pages.select("path", F.col("content").cast("string").alias("html")))
+    return parsed.unionByName(parse_json_documents(scan_documents(spark, folder, "*.json")))

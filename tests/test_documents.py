@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.text import is_valid_email, strip_space, words
 from skyledger.operators.chunking import chunk_by_section, flatten_elements
-from skyledger.sources.documents import parse_html, parse_json_documents, scan_documents
+from skyledger.sources.documents import parse_documents, parse_html, parse_json_documents, scan_documents
 
 ELEMENTS = "source_document string, element_id int, element_type string, content string"
 HEADINGS = ("title", "section_header")
@@ -128,6 +128,18 @@ def test_html_elements(spark):
     assert flatten_elements(parsed).count() == 10
 
 
+def test_a_folder_of_documents(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"document":{"elements":[{"id":0,"type":"text","content":"from json"}]}}')
+    (tmp_path / "b.html").write_text("<h1>Tïtle</h1><p>from html")
+    (tmp_path / "c.htm").write_text("")
+    (tmp_path / "d.bin").write_bytes(b"\x00\xff")
+    assert scan_documents(spark, str(tmp_path)).count() == 4
+    parsed = parse_documents(spark, str(tmp_path))
+    assert parsed.count() == 3
+    found = {(r.source_document[-6:], r.content) for r in flatten_elements(parsed).collect()}
+    assert found == {("a.json", "from json"), ("b.html", "Tïtle"), ("b.html", "from html")}
+
+
 def test_words_split_like_unicode_text(spark):
     texts = ["a b", "  a b c\x1dd\n", "", None, "　", "x​y"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")

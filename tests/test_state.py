@@ -44,7 +44,11 @@ def test_current_state(spark):
     assert folded.columns == ["id", "value"]
     assert dict(folded.collect()) == wanted
     early, late = history.filter("second(_timestamp) < 5"), history.filter("second(_timestamp) >= 5")
-    assert dict(state.apply_changes(state.compact_history(early, ["id"]), late, ["id"]).collect()) == wanted
+    compacted = state.compact_history(early, ["id"])
+    assert dict(state.apply_changes(compacted, late, ["id"]).collect()) == wanted
+    folded = state.fold_changes(compacted, late, ["id"])
+    assert folded.count() == 6
+    assert dict(state.live_rows(folded).collect()) == wanted
 
 
 def test_users_are_created_once(spark, users):
