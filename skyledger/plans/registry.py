@@ -342,9 +342,9 @@ _PAGES = r"""blocks AS (
     FROM {pages}),
 tagged AS (
     SELECT source_document, pos, regexp_extract(part, '^/?[a-z0-9]+') AS tag,
-           trim(regexp_replace(replace(replace(replace(replace(
+           trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
                CASE WHEN contains(part, '>') THEN regexp_replace(part, '^[^>]*>', '') ELSE part END,
-               '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', ' ', 'g')) AS content
+               '&quot;?', '"', 'g'), '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS content
     FROM (SELECT source_document, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos FROM blocks)),
 framed AS (
     SELECT *, count(*) FILTER (WHERE tag IN ('nav', 'footer')) OVER so_far
