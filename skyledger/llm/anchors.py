@@ -3,7 +3,8 @@
 A window of ``width`` elements picks the least ranked candidate position between ``margin`` and
 ``width - margin`` from its start. Ranks and candidates depend on the ``margin`` elements on either
 side only, so equal windows pick the same relative position, whichever document they stand in. The
-windows that pick one anchor are neighbours; they are handled as one span.
+windows that pick one anchor are neighbours; they are handled as one span. Where a text repeats a
+short period, spans alike follow each other; they are one entry with a number of copies.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ class Anchors:
     last: np.ndarray  # last window start
     key: np.ndarray  # name of the surroundings of the anchor
     span: np.ndarray  # name of everything the windows cover, and of the anchor's place in it
+    copies: np.ndarray  # spans alike that follow each other without a gap, as in repeated words
 
 
 def find_anchors(values: np.ndarray, offsets: np.ndarray, width: int, margin: int, candidates: np.ndarray | None = None) -> Anchors:
@@ -38,7 +40,7 @@ def find_anchors(values: np.ndarray, offsets: np.ndarray, width: int, margin: in
     """
     none = np.zeros(0, dtype=np.int64)
     if len(values) < width:
-        return Anchors(none, none, none, none, none.astype(U64), none.astype(U64))
+        return Anchors(none, none, none, none, none.astype(U64), none.astype(U64), none)
     keys = Names(values, 0).windows(2 * margin)  # keys[i] names the surroundings of position i + margin
     ranks = (keys >> POSITION_BITS << POSITION_BITS) | np.arange(len(keys), dtype=U64)
     if candidates is not None:
@@ -52,7 +54,7 @@ def find_anchors(values: np.ndarray, offsets: np.ndarray, width: int, margin: in
     np.add.at(inside, offsets[long + 1] - width + 1, -1)
     starts = np.flatnonzero(np.cumsum(inside[:-1], dtype=np.int8))
     if not len(starts):
-        return Anchors(none, none, none, none, none.astype(U64), none.astype(U64))
+        return Anchors(none, none, none, none, none.astype(U64), none.astype(U64), none)
     chosen = picked[starts]
     change = np.flatnonzero((np.diff(starts) != 1) | (np.diff(chosen) != 0)) + 1
     opens = np.concatenate(([0], change))
@@ -60,4 +62,9 @@ def find_anchors(values: np.ndarray, offsets: np.ndarray, width: int, margin: in
     first, last, anchor = starts[opens], starts[closes], chosen[opens]
     text = np.searchsorted(offsets, first, side="right") - 1
     span = mix(Names(values, 1).of(first, last + width) + (anchor - first).astype(U64) * U64(0xA24BAED4963EE407))
-    return Anchors(text, anchor, first, last, keys[anchor], span)
+    key = keys[anchor]
+    alike = (span[1:] == span[:-1]) & (key[1:] == key[:-1]) & (text[1:] == text[:-1])
+    alike &= (first[1:] == last[:-1] + 1) & (last[1:] - first[1:] == last[:-1] - first[:-1])
+    heads = np.flatnonzero(np.concatenate(([True], ~alike)))
+    copies = np.diff(np.append(heads, len(first)))
+    return Anchors(text[heads], anchor[heads], first[heads], last[heads], key[heads], span[heads], copies)

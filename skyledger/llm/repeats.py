@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.anchors import Anchors
 from skyledger.llm.textscan import U64, Names, flat_ranges, slices, text_column
+from skyledger.operators.joins import own_shuffle
 
-ANCHOR_SCHEMA = "id long, first int, n int, place int, key long, span long"
+ANCHOR_SCHEMA = "id long, first int, n int, copies int, place int, key long, span long"
 # Windows that travel in one row.
 BLOCK = 16
 
@@ -26,7 +27,7 @@ BLOCK = 16
 Reader = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
-def anchor_rows(texts: DataFrame, read: Reader, find: Callable[[np.ndarray, np.ndarray], Anchors], margin: int) -> DataFrame:
+def anchor_rows(texts: DataFrame, read: Reader, find: Callable[[np.ndarray, np.ndarray], Anchors]) -> DataFrame:
     """One row per anchor of ``texts`` (id, text); positions count from the start of the text."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -40,52 +41,52 @@ def anchor_rows(texts: DataFrame, read: Reader, find: Callable[[np.ndarray, np.n
                         part.column("id").take(pa.array(found.text)),
                         pa.array((found.first - base).astype(np.int32)),
                         pa.array((found.last - found.first + 1).astype(np.int32)),
+                        pa.array(found.copies.astype(np.int32)),
                         pa.array((found.anchor - found.first).astype(np.int32)),
                         pa.array(found.key.view(np.int64)),
                         pa.array(found.span.view(np.int64)),
                     ],
-                    names=["id", "first", "n", "place", "key", "span"],
+                    names=["id", "first", "n", "copies", "place", "key", "span"],
                 )
 
     return texts.select("id", "text").mapInArrow(scan, ANCHOR_SCHEMA)
 
 
-def distinct_spans(anchors: DataFrame) -> DataFrame:
-    """Each span with its number of occurrences and the least id it occurs in."""
-    return anchors.groupBy("key", "span").agg(F.count("*").alias("times"), F.min("id").alias("least"))
-
-
-def repeated_windows(texts: DataFrame, anchors: DataFrame, spans: DataFrame, read: Reader, width: int, earlier: bool) -> DataFrame:
+def repeated_windows(texts: DataFrame, anchors: DataFrame, shared: DataFrame, read: Reader, width: int, earlier: bool) -> DataFrame:
     """Runs of repeated windows as (id, start, n).
 
     With ``earlier`` a window counts that also starts in a text of smaller id; else one that also
-    starts anywhere else. ``spans`` are the ``distinct_spans`` of ``anchors``.
+    starts anywhere else. ``shared`` holds the anchor names (key) that may matter, once each.
     """
+    anchors = anchors.join(own_shuffle(shared, ["key"]), "key", "left_semi")
+    spans = anchors.groupBy("key", "span").agg(F.sum("copies").alias("times"), F.min("id").alias("least"))
     variants = spans.groupBy("key").agg((F.count("*") > 1).alias("varied"))
     notable = spans.join(variants, "key").where(F.col("varied") | (F.col("times") > 1))
     whole = F.col("id") > F.col("least") if earlier else F.col("times") > 1
     # One text speaks for a span where it is compared with its variants.
     speaks = F.col("varied") & (F.col("id") == F.col("least"))
     marked = (
-        anchors.join(notable, ["key", "span"])
+        anchors.join(own_shuffle(notable, ["key", "span"]), ["key", "span"])
         .withColumn("whole", whole)
         .withColumn("speaks", speaks)
         .where("whole OR speaks")
-        .select("id", "first", "n", "place", "key", "span", "whole", "speaks")
+        .select("id", "first", "n", "copies", "place", "key", "span", "whole", "speaks")
     )
     of_text = marked.where("speaks").groupBy("id").agg(
-        F.sort_array(F.collect_list(F.struct("first", "n", "place", "key", "span", "whole"))).alias("asked")
+        F.sort_array(F.collect_list(F.struct("first", "n", "copies", "place", "key", "span", "whole"))).alias("asked")
     )
-    blocks = texts.join(of_text, "id").select("id", "text", "asked").mapInArrow(window_blocks(read, width), BLOCK_SCHEMA)
+    # An outer join, like the one that applies the runs: both then share one shuffle of the texts.
+    asked = texts.join(of_text, "id", "left").select("id", F.when(F.col("asked").isNotNull(), F.col("text")).alias("text"), "asked")
     compared = (
-        blocks.repartition("key", "block")
+        asked.mapInArrow(window_blocks(read, width), BLOCK_SCHEMA)
+        .repartition("key", "block")
         .sortWithinPartitions("key", "block")
         .mapInArrow(compare_blocks(earlier), "id long, start int, n int")
     )
-    return marked.where("whole").select("id", F.col("first").alias("start"), "n").unionByName(compared)
+    return marked.where("whole").select("id", F.col("first").alias("start"), (F.col("n") * F.col("copies")).alias("n")).unionByName(compared)
 
 
-BLOCK_SCHEMA = "key long, block int, place int, span long, id long, start int, settled boolean, names binary"
+BLOCK_SCHEMA = "key long, block int, place int, span long, id long, start int, period int, copies int, settled boolean, names binary"
 
 
 def window_blocks(read: Reader, width: int):
@@ -99,7 +100,7 @@ def window_blocks(read: Reader, width: int):
                 lists = part.column("asked")
                 owner = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
                 asked = lists.flatten()
-                field = {name: asked.field(name).to_numpy(zero_copy_only=False) for name in ("first", "n", "place", "key", "span", "whole")}
+                field = {name: asked.field(name).to_numpy(zero_copy_only=False) for name in ("first", "n", "copies", "place", "key", "span", "whole")}
                 # An id that has several texts may ask for places that this one lacks.
                 fits = field["first"].astype(np.int64) + field["n"] + width - 1 <= np.diff(offsets)[owner]
                 field, owner = {name: values[fits] for name, values in field.items()}, owner[fits]
@@ -127,10 +128,12 @@ def window_blocks(read: Reader, width: int):
                         pa.array(field["span"][row]),
                         part.column("id").take(pa.array(owner[row])),
                         pa.array((start - offsets[owner[row]]).astype(np.int32)),
+                        pa.array(field["n"][row]),
+                        pa.array(field["copies"][row]),
                         pa.array(field["whole"][row].astype(bool)),
                         packed,
                     ],
-                    names=["key", "block", "place", "span", "id", "start", "settled", "names"],
+                    names=["key", "block", "place", "span", "id", "start", "period", "copies", "settled", "names"],
                 )
 
     return scan
@@ -140,7 +143,7 @@ def compare_blocks(earlier: bool, most_rows: int = 200_000):
     """Finds equal windows among rows sorted by key and block; holds whole groups, several at a time."""
 
     def compare(table: pa.Table) -> pa.RecordBatch:
-        column = {name: table.column(name).to_numpy() for name in ("key", "place", "span", "id", "start", "settled")}
+        column = {name: table.column(name).to_numpy() for name in ("key", "place", "span", "id", "start", "period", "copies", "settled")}
         names = table.column("names").combine_chunks()
         if isinstance(names, pa.ChunkedArray):
             names = pa.concat_arrays(names.chunks)
@@ -175,11 +178,15 @@ def compare_blocks(earlier: bool, most_rows: int = 200_000):
         breaks[1:] = (at[1:] != at[:-1] + 1) | (row[at[1:]] != row[at[:-1]])
         heads = np.flatnonzero(breaks)
         runs = np.diff(np.append(heads, len(at)))
+        # What holds for a span holds for the copies that follow it.
+        source = row[at[heads]]
+        copies = column["copies"][source].astype(np.int64)
+        shift = flat_ranges(np.zeros(len(copies), dtype=np.int64), copies) * np.repeat(column["period"][source], copies)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(column["id"][row[at[heads]]]),
-                pa.array((column["start"][row[at[heads]]] + step[at[heads]]).astype(np.int32)),
-                pa.array(runs.astype(np.int32)),
+                pa.array(np.repeat(column["id"][source], copies)),
+                pa.array((np.repeat(column["start"][source] + step[at[heads]], copies) + shift).astype(np.int32)),
+                pa.array(np.repeat(runs, copies).astype(np.int32)),
             ],
             names=["id", "start", "n"],
         )

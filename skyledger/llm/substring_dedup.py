@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.anchors import Anchors, find_anchors
-from skyledger.llm.repeats import anchor_rows, distinct_spans, gathered, repeated_windows, run_marks
+from skyledger.llm.repeats import anchor_rows, gathered, repeated_windows, run_marks
 from skyledger.llm.tables import stored
 from skyledger.llm.textscan import U64, flat_ranges, mix, slices, text_column, word_bounds, word_names
 
@@ -100,9 +100,9 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", widt
     def find(values: np.ndarray, offsets: np.ndarray) -> Anchors:
         return find_anchors(values, offsets, width, MARGIN, symbol_starts(values, offsets))
 
-    known = texts.where("id IS NOT NULL AND text IS NOT NULL")
-    anchors = stored(anchor_rows(known, read_words, find, MARGIN), "recompression")
-    runs = repeated_windows(known, anchors, distinct_spans(anchors), read_words, width, earlier=True)
+    anchors = stored(anchor_rows(texts.where("id IS NOT NULL"), read_words, find), "recompression")
+    ids = anchors.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("last"))
+    runs = repeated_windows(texts, anchors, ids.where("least < last").select("key"), read_words, width, earlier=True)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -2,10 +2,10 @@
 
 Suffixes are sampled at anchors (see ``anchors``): a repeated string of ``width`` bytes holds the
 same anchors wherever it stands, so nothing is missed. A suffix array is a table of the sampled
-suffixes of some batches, sorted by the name of the bytes around the anchor and by the name of the
-whole span its windows cover; equal strings are neighbours. A new batch gets its array, is scanned in
-merge order against every level, and arrays of equal size are merged, so each suffix is merged a
-logarithmic number of times.
+suffixes of some batches, sorted by the name of the bytes around the anchor, so that suffixes which
+may share a long match are neighbours. A new batch gets its array, is scanned in merge order against
+every level, and arrays of equal size are merged, so each suffix is merged a logarithmic number of
+times. Suffixes that the scans match are then compared over whole strings (see ``repeats``).
 """
 
 from __future__ import annotations
@@ -15,48 +15,57 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm.anchors import Anchors, find_anchors
-from skyledger.llm.repeats import anchor_rows, distinct_spans, gathered, repeated_windows, run_marks
+from skyledger.llm.repeats import anchor_rows, gathered, repeated_windows, run_marks
 from skyledger.llm.tables import stored
 from skyledger.llm.textscan import byte_values, slices, text_column
+from skyledger.session import work_dir
 
 # Bytes on either side of an anchor that name it.
 MARGIN = 50
 
 
 class SuffixFamily:
-    """Sorted suffix tables; level ``k`` stands for ``2**k`` batches."""
+    """Sorted arrays of sampled suffixes; level ``k`` stands for ``2**k`` batches.
 
-    def __init__(self) -> None:
+    An array is a table (key, times), bucketed and sorted by key in the shared folder: scans and
+    merges of two arrays move no data.
+    """
+
+    def __init__(self, spark: SparkSession, buckets: int | None = None) -> None:
+        self.spark = spark
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: dict[int, DataFrame] = {}
         self.matches: list[DataFrame] = []
 
+    def array(self, suffixes: DataFrame) -> DataFrame:
+        """Writes suffixes that lie in buckets already as a sorted array."""
+        path = work_dir(self.spark, "suffixes")
+        name = f"suffixes_{path[-32:]}"
+        suffixes.write.bucketBy(self.buckets, "key").sortBy("key").option("path", path).saveAsTable(name)
+        return self.spark.table(name)
+
     def add(self, anchors: DataFrame) -> None:
         """Takes a batch of anchor rows in: array, scan against the levels, merges."""
-        array = stored(distinct_spans(anchors).sortWithinPartitions("key", "span"), "suffixes")
-        met = [array.groupBy("key").agg(F.sum("times").alias("times")).where("times > 1").select("key")]
-        met += [array.join(level, "key", "left_semi").select("key") for level in self.levels.values()]
-        self.matches.append(stored(reduce(DataFrame.unionByName, met).distinct(), "matches"))
+        counted = anchors.groupBy("key").agg(F.sum("copies").alias("times"))
+        array = self.array(counted.repartition(self.buckets, "key"))
+        met = [array.where("times > 1").select("key")]
+        met += [array.join(level.hint("merge"), "key", "left_semi").select("key") for level in self.levels.values()]
+        self.matches.append(stored(reduce(DataFrame.unionByName, met), "matches"))
         size = 0
         while size in self.levels:
-            both = array.unionByName(self.levels.pop(size))
-            array = stored(merged(both).sortWithinPartitions("key", "span"), "suffixes")
+            older = self.levels.pop(size).withColumnRenamed("times", "_times").hint("merge")
+            times = F.coalesce("times", F.lit(0)) + F.coalesce("_times", F.lit(0))
+            array = self.array(array.join(older, "key", "full").select("key", times.alias("times")))
             size += 1
         self.levels[size] = array
 
-    def matched_spans(self) -> DataFrame:
-        """Spans around anchor names that occur more than once: (key, span, times, least)."""
-        met = reduce(DataFrame.unionByName, self.matches).distinct()
-        arrays = list(self.levels.values())
-        spans = arrays[0] if len(arrays) == 1 else merged(reduce(DataFrame.unionByName, arrays))
-        return spans.join(met, "key", "left_semi")
-
-
-def merged(spans: DataFrame) -> DataFrame:
-    return spans.groupBy("key", "span").agg(F.sum("times").alias("times"), F.min("least").alias("least"))
+    def matched(self) -> DataFrame:
+        """Names of suffixes (key) that occur more than once in all batches, once each."""
+        return reduce(DataFrame.unionByName, self.matches).distinct()
 
 
 def read_bytes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -81,12 +90,11 @@ def remove_repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text
     def find(values: np.ndarray, offsets: np.ndarray) -> Anchors:
         return find_anchors(values, offsets, width, MARGIN)
 
-    known = texts.where("id IS NOT NULL AND text IS NOT NULL")
-    anchors = stored(anchor_rows(known, read_bytes, find, MARGIN), "anchors")
-    family = SuffixFamily()
+    anchors = stored(anchor_rows(texts.where("id IS NOT NULL"), read_bytes, find), "anchors")
+    family = SuffixFamily(docs.sparkSession)
     for number in range(batches):
         family.add(anchors.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == number))
-    runs = repeated_windows(known, anchors, family.matched_spans(), read_bytes, width, earlier=False)
+    runs = repeated_windows(texts, anchors, family.matched(), read_bytes, width, earlier=False)
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
