@@ -1,28 +1,87 @@
-"""The corpus pipeline: from raw documents to packed training sequences."""
+"""The corpus pipeline: from raw documents to packed training sequences.
+
+Every stage takes (spark, docs, sf_dir) and works on all that the one before it kept. All but the last
+return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from skyledger.llm.jaccard_join import jaccard_components
+from skyledger.llm.mixing import mix_sources
+from skyledger.llm.packing import pack
+from skyledger.llm.quality import THRESHOLD, score, train
 from skyledger.llm.substring_dedup import remove_repeats
 from skyledger.llm.tables import stored
+from skyledger.llm.tokens import default_path
+from skyledger.llm.words import words_between
+from skyledger.operators.joins import own_shuffle
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts passages of 50 words that an earlier document has, too."""
-    kept = remove_repeats(docs, width=50).select("doc_id", "kept")
-    return docs.join(kept, "doc_id")
+def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the quality classifier rejects; it learns from the labels of ``sf_dir``."""
+    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score(docs.select(*COLUMNS), model, carry=True).where(F.col("score") >= THRESHOLD).select(*COLUMNS)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near copies: five words, similarity of 0.8 or more.
+
+    It is the one of least id; of repeated rows of that id, the first in order of the other columns. Rows without an id stay.
+    """
+    found = stored(jaccard_components(docs, n=5, percent=80), "groups").where("doc_id IS NOT NULL")
+    dropped = found.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.select(*COLUMNS).join(own_shuffle(dropped, ["doc_id"]), "doc_id", "left_anti").select(*COLUMNS)
+    repeated = stored(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
+    if repeated.isEmpty():
+        return kept
+    alone = kept.join(own_shuffle(repeated, ["doc_id"]), "doc_id", "left_anti").select(*COLUMNS)
+    alike = kept.join(own_shuffle(repeated, ["doc_id"]), "doc_id", "left_semi").groupBy("doc_id")
+    return alone.unionByName(alike.agg(F.min(F.struct(*COLUMNS[1:])).alias("row")).select("doc_id", "row.*"))
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages of 50 words that a document of smaller id has, too; words stay one space apart.
+
+    A document all of whose words are cut goes.
+    """
+    cut = remove_repeats(docs, width=50, carry=["lang", "source"]).where("n_removed < n_words OR n_words = 0")
+    return cut.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars"))
+
+
+def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes from each source what its target grants: a document once for each whole pass, and a part
+    of it as a document of its own. Sources weigh 3, 1, 2 in turn and share 150 % of all words."""
+    mix = mix_sources(docs.select(*COLUMNS), weights=(3, 1, 2), share=1.5, most=2, carry=["text", "lang"])
+    whole = F.array_repeat(F.struct(F.lit(0).cast("long").alias("start"), F.col("size").alias("end")), F.col("passes"))
+    taken = mix.where("taken > 0").withColumn("piece", F.explode(F.concat(whole, "parts")))
+    text = words_between("text", F.col("piece.start"), F.col("piece.end"), F.col("size"))
+    return taken.select("doc_id", text.alias("text"), "lang", "source").withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs the tokens of all documents into sequences of 4096."""
+    return pack(docs, default_path("word_bpe_49k.json"), capacity=4096, end_id=1)
 
 
-STAGES = [("substring dedup", drop_repeated_passages)]
-# The stages encode, learn and search; SQL has no form for them.
+STAGES = [
+    ("quality classifier", keep_good_quality),
+    ("n-gram Jaccard join", keep_one_of_each_group),
+    ("substring dedup", cut_repeated_passages),
+    ("mixing sources", mix_to_targets),
+    ("best-fit packing", pack_sequences),
+]
+# The stages learn, search and encode; SQL has no form for them.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on the documents of ``sf_dir``, each result written before the next one reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -81,6 +81,7 @@ def mix_sources(
     id: str = "doc_id",
     source: str = "source",
     text: str = "text",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """What a mix takes of each row of ``docs``.
 
@@ -88,14 +89,23 @@ def mix_sources(
     words. Returns (id, source, size, source_size, target, passes, parts, taken): the row enters the
     mix ``passes`` times in whole, and with the words of each of ``parts`` (start, end) once more;
     ``taken`` counts all these words, at most ``most`` times the size. Null texts have no words.
+    Columns named in ``carry`` come along.
     The same rows and seed give the same mix; rows alike in id and size may swap places. A source's
     words miss its target by a block here and there. An empty table gives an empty result. Only one
     row per source, and the shards of one source, come together in a task.
     """
-    rows = stored(docs.select(F.col(id).alias("id"), F.col(source).alias("source"), word_count(text).alias("size")), "mix-rows")
+    others = [F.col(name).alias(f"carry_{name}") for name in carry]
+    # A key that tells null from every text, so that joins need no null-safe comparison.
+    key = F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit(""))
+    measured = docs.select(
+        F.col(id).cast("long").alias("id"), F.col(source).alias("source"), key.alias("key"), word_count(text).alias("size"), *others
+    )
+    slim = stored(measured.drop(*(f"carry_{name}" for name in carry)), "mix-rows")
+    rows = measured if carry else slim
 
     def plan(sources: pd.DataFrame) -> pd.DataFrame:
-        sources = sources.sort_values("source", na_position="last", ignore_index=True)
+        sources = sources.sort_values("key", ignore_index=True)
+        sources = pd.concat([sources[sources["key"] != ""], sources[sources["key"] == ""]], ignore_index=True)
         turn = np.resize(np.array(weights, dtype=float), len(sources))
         sizes = sources["source_size"].to_numpy(dtype=float)
         targets = fill_targets(sizes, turn, share, most)
@@ -109,29 +119,26 @@ def mix_sources(
         blocks = most * -(-sizes // block_tokens)
         return shards.assign(quota=sainte_lague(sizes, int(shards["seats"].iloc[0]), blocks)).drop(columns="seats")
 
-    sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    sources = slim.groupBy("key").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     sources = stored(
-        sources.groupBy().applyInPandas(plan, "source string, source_size long, n long, target double, seats long"),
-        "mix-sources",
+        sources.groupBy().applyInPandas(plan, "key string, source_size long, n long, target double, seats long"), "mix-sources"
     )
-    known = own_shuffle(sources, ["source"]).withColumnRenamed("source", "_source")
-    shard = F.pmod(F.xxhash64(F.lit(seed), "id"), cells_for(F.col("n")))
-    dealt = rows.join(known, F.col("source").eqNullSafe(F.col("_source"))).withColumn("shard", shard).drop("_source", "n")
-    dealt = stored(dealt, "mix-dealt")
-    shards = dealt.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"), F.first("seats").alias("seats"))
-    quotas = shards.groupBy("source").applyInPandas(deal, "source string, shard long, shard_size long, quota long")
-    quotas = quotas.select(F.col("source").alias("_source"), F.col("shard").alias("_shard"), "shard_size", "quota")
-    line = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "id"), "id", "size")
+
+    def dealt(some: DataFrame) -> DataFrame:
+        shard = F.pmod(F.xxhash64(F.lit(seed), "id"), cells_for(F.col("n")))
+        return some.join(own_shuffle(sources, ["key"]), "key").withColumn("shard", shard).drop("n")
+
+    shards = dealt(slim).groupBy("key", "shard").agg(F.sum("size").alias("shard_size"), F.first("seats").alias("seats"))
+    quotas = shards.groupBy("key").applyInPandas(deal, "key string, shard long, shard_size long, quota long")
+    line = Window.partitionBy("key", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "id"), "id", "size")
     end = F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0))
-    laid = dealt.withColumn("_end", end).join(
-        quotas, F.col("source").eqNullSafe(F.col("_source")) & (F.col("shard") == F.col("_shard"))
-    )
+    laid = dealt(rows).withColumn("_end", end).join(quotas, ["key", "shard"])
     blocks = F.greatest(F.ceil(F.col("shard_size") / block_tokens), F.lit(1))
     laid = (
         laid.withColumn("_blocks", blocks)
         .withColumn("passes", F.floor(F.col("quota") / F.col("_blocks")))
         .withColumn("_left", F.col("quota") % F.col("_blocks"))
-        .withColumn("_first", F.pmod(F.xxhash64(F.lit(seed + 2), "source", "shard"), F.col("_blocks")))
+        .withColumn("_first", F.pmod(F.xxhash64(F.lit(seed + 2), "key", "shard"), F.col("_blocks")))
         .withColumn("_start", F.col("_end") - F.col("size"))
     )
 
@@ -154,4 +161,5 @@ def mix_sources(
         F.col("passes").cast("int").alias("passes"),
         parts.alias("parts"),
         (F.col("passes") * F.col("size") + extra).cast("long").alias("taken"),
+        *(F.col(f"carry_{name}").alias(name) for name in carry),
     )

@@ -141,17 +141,17 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     return fit([one for _, _, one in pairs], np.array([label for _, label, _ in pairs], dtype=np.int64))
 
 
-def score(docs: DataFrame, model: QualityModel, id: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: QualityModel, id: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
     """(id, score) of every whole text; the score nears 1 where label 1 is likelier.
 
-    A text without words, or null, has the score every text starts from. Rows are scored one by one,
+    With ``carry`` all columns of ``docs`` come along; a score column among them is replaced. A text without words, or null, has the score every text starts from. Rows are scored one by one,
     repeated ones alike; other columns play no part.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 8 << 20):
-                index, distinct, words, again = coded_words(part.column("text"))
+            for part in slices(batch, text, 8 << 20):
+                index, distinct, words, again = coded_words(part.column(text))
                 buckets, offsets = word_features(distinct)
                 sums = np.concatenate(([0.0], np.cumsum(model.features[buckets])))
                 values = (sums[offsets[1:]] - sums[offsets[:-1]]) / np.maximum(np.diff(offsets), 1)
@@ -159,7 +159,9 @@ def score(docs: DataFrame, model: QualityModel, id: str = "doc_id", text: str =
                 number = np.concatenate(([0], np.cumsum(1 + again.astype(np.int64))))[words]
                 odds = np.diff(total) / np.maximum(np.diff(number), 1) + model.bias
                 scores = 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(scores)], names=["id", "score"])
+                rest = [part.column(name) for name in kept]
+                yield pa.RecordBatch.from_arrays([*rest, pa.array(scores)], names=[*kept, "score"])
 
-    texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    return texts.mapInArrow(scan, "id long, score double").withColumnRenamed("id", id)
+    kept = [name for name in docs.columns if name != "score"] if carry else [id]
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in docs.select(*kept).dtypes) + ", score double"
+    return docs.select(*dict.fromkeys([*kept, text])).mapInArrow(scan, schema)

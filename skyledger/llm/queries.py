@@ -5,8 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.llm.cover_tree import near_duplicates
+from skyledger.llm.jaccard_join import jaccard_components
+from skyledger.llm.mixing import mix_sources
+from skyledger.llm.nearest import nearest
+from skyledger.llm.packing import pack
+from skyledger.llm.quality import THRESHOLD, held_out, score, train
+from skyledger.llm.sharding import shard_documents
 from skyledger.llm.substring_dedup import remove_repeats
 from skyledger.llm.suffix_dedup import remove_repeated_bytes
+from skyledger.llm.token_counts import count_tokens
+from skyledger.llm.tokens import default_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +27,15 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mix_sources(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2)
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeated_bytes(table(spark, sf_dir, "documents"), width=400)
     return found.select(
@@ -29,9 +47,48 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = count_tokens(table(spark, sf_dir, "documents"), default_path("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return nearest(rows, rows.where("vec_id % 100 = 0"), k=10)
+
+
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_documents(table(spark, sf_dir, "documents"), shards=8)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), default_path("word_bpe_49k.json"), capacity=4096, end_id=1)
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_source_mix": op2_source_mix,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_token_counts": op6_token_counts,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
+    "op8_shards": op8_shards,
+    "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_quality": op10_quality,
 }
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0b\f\r]+')"

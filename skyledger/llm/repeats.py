@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.anchors import Anchors
-from skyledger.llm.textscan import U64, Names, flat_ranges, slices, text_column
+from skyledger.llm.textscan import U64, Names, flat_ranges, slices, text_column, unpacked
 from skyledger.operators.joins import own_shuffle
 
 ANCHOR_SCHEMA = "id long, first int, n int, copies int, place int, key long, span long"
@@ -52,11 +52,12 @@ def anchor_rows(texts: DataFrame, read: Reader, find: Callable[[np.ndarray, np.n
     return texts.select("id", "text").mapInArrow(scan, ANCHOR_SCHEMA)
 
 
-def repeated_windows(texts: DataFrame, anchors: DataFrame, shared: DataFrame, read: Reader, width: int, earlier: bool) -> DataFrame:
+def repeated_windows(packed: DataFrame, anchors: DataFrame, shared: DataFrame, read: Reader, width: int, earlier: bool) -> DataFrame:
     """Runs of repeated windows as (id, start, n).
 
     With ``earlier`` a window counts that also starts in a text of smaller id; else one that also
-    starts anywhere else. ``shared`` holds the anchor names (key) that may matter, once each.
+    starts anywhere else. ``packed`` are the ``packed_texts``; ``shared`` holds the anchor names (key)
+    that may matter, once each.
     """
     anchors = anchors.join(own_shuffle(shared, ["key"]), "key", "left_semi")
     spans = anchors.groupBy("key", "span").agg(F.sum("copies").alias("times"), F.min("id").alias("least"))
@@ -76,7 +77,7 @@ def repeated_windows(texts: DataFrame, anchors: DataFrame, shared: DataFrame, re
         F.sort_array(F.collect_list(F.struct("first", "n", "copies", "place", "key", "span", "whole"))).alias("asked")
     )
     # An outer join, like the one that applies the runs: both then share one shuffle of the texts.
-    asked = texts.join(of_text, "id", "left").select("id", F.when(F.col("asked").isNotNull(), F.col("text")).alias("text"), "asked")
+    asked = packed.join(of_text, "id", "left").select("id", F.when(F.col("asked").isNotNull(), F.col("packed")).alias("packed"), "n_bytes", "asked")
     compared = (
         asked.mapInArrow(window_blocks(read, width), BLOCK_SCHEMA)
         .repartition("key", "block")
@@ -94,8 +95,8 @@ def window_blocks(read: Reader, width: int):
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                values, offsets = read(*text_column(part.column("text")))
+            for part, data, offsets in unpacked(batch):
+                values, offsets = read(data, offsets)
                 names = Names(values, 1)
                 lists = part.column("asked")
                 owner = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))

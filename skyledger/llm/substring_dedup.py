@@ -10,7 +10,7 @@ shared anchors reveal repeats, and names of whole windows verify them (see ``rep
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from skyledger.llm.anchors import Anchors, find_anchors
 from skyledger.llm.repeats import anchor_rows, gathered, repeated_windows, run_marks
 from skyledger.llm.tables import stored
-from skyledger.llm.textscan import U64, flat_ranges, mix, slices, text_column, word_bounds, word_names
+from skyledger.llm.textscan import U64, flat_ranges, mix, packed_texts, unpacked, word_bounds, word_names
 
 # Rounds as (longest symbol that takes part, longest run that gets a name; 0: no runs), in words.
 ROUNDS = ((1, 2), (1, 0), (2, 0), (2, 0))
@@ -83,7 +83,7 @@ def read_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return word_names(data, starts, ends), words
 
 
-def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 50) -> DataFrame:
+def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 50, carry: Sequence[str] = ()) -> DataFrame:
     """Removes words covered by a window of ``width`` words that also starts in a text of smaller id.
 
     Returns per row of ``docs``: the id, ``kept`` (the words that stay, joined by one space),
@@ -91,23 +91,25 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", widt
     none). Windows are judged on the input. Null and blank texts have no words and keep "". Texts of
     fewer than ``width`` words keep all. Repeated rows of one id get the same result each; if an id has
     different texts, the repeats found in any of them are cut at the same places in all. A text with
-    a null id keeps all its words and repeats nothing. Other columns of ``docs`` play no part.
+    a null id keeps all its words and repeats nothing. Columns named in ``carry`` come along, others
+    play no part.
     """
     if width < 2 * MARGIN + LONGEST:
         raise ValueError(f"windows need {2 * MARGIN + LONGEST} words at least")
-    texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    others = [F.col(name).alias(f"carry_{name}") for name in carry]
+    texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"), *others)
 
     def find(values: np.ndarray, offsets: np.ndarray) -> Anchors:
         return find_anchors(values, offsets, width, MARGIN, symbol_starts(values, offsets))
 
     anchors = stored(anchor_rows(texts.where("id IS NOT NULL"), read_words, find), "recompression")
     ids = anchors.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("last"))
-    runs = repeated_windows(texts, anchors, ids.where("least < last").select("key"), read_words, width, earlier=True)
+    packed = packed_texts(texts)
+    runs = repeated_windows(packed, anchors, ids.where("least < last").select("key"), read_words, width, earlier=True)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                data, offsets = text_column(part.column("text"))
+            for part, data, offsets in unpacked(batch):
                 starts, ends, words = word_bounds(data, offsets)
                 gone = run_marks(part.column("runs"), words, width)
                 stay = np.flatnonzero(~gone)
@@ -120,12 +122,16 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", widt
                         pa.array(np.diff(words)),
                         pa.array(np.diff(removed)),
                         part.column("runs"),
+                        *(part.column(name) for name in carried),
                     ],
-                    names=["id", "kept", "n_words", "n_removed", "runs"],
+                    names=["id", "kept", "n_words", "n_removed", "runs", *carried],
                 )
 
-    schema = "id long, kept string, n_words long, n_removed long, runs array<struct<start:int,n:int>>"
-    return texts.join(gathered(runs), "id", "left").select("id", "text", "runs").mapInArrow(cut, schema).withColumnRenamed("id", id)
+    carried = [f"carry_{name}" for name in carry]
+    kinds = "".join(f", `{name}` {kind}" for name, kind in texts.select(*carried).dtypes)
+    schema = f"id long, kept string, n_words long, n_removed long, runs array<struct<start:int,n:int>>{kinds}"
+    found = packed.join(gathered(runs), "id", "left").select("id", "packed", "n_bytes", "runs", *carried).mapInArrow(cut, schema)
+    return found.select(F.col("id").alias(id), *found.columns[1:5], *(F.col(f"carry_{name}").alias(name) for name in carry))
 
 
 def joined_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

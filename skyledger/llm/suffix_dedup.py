@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from skyledger.llm.anchors import Anchors, find_anchors
 from skyledger.llm.repeats import anchor_rows, gathered, repeated_windows, run_marks
 from skyledger.llm.tables import stored
-from skyledger.llm.textscan import byte_values, slices, text_column
+from skyledger.llm.textscan import byte_values, packed_texts, unpacked
 from skyledger.session import work_dir
 
 # Bytes on either side of an anchor that name it.
@@ -94,12 +94,12 @@ def remove_repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text
     family = SuffixFamily(docs.sparkSession)
     for number in range(batches):
         family.add(anchors.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == number))
-    runs = repeated_windows(texts, anchors, family.matched(), read_bytes, width, earlier=False)
+    packed = packed_texts(texts)
+    runs = repeated_windows(packed, anchors, family.matched(), read_bytes, width, earlier=False)
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            for part in slices(batch, "text"):
-                data, offsets = text_column(part.column("text"))
+            for part, data, offsets in unpacked(batch):
                 gone = run_marks(part.column("runs"), offsets, width)
                 removed = np.concatenate(([0], np.cumsum(gone)))[offsets]
                 before = np.zeros(len(data), dtype=bool)
@@ -131,4 +131,4 @@ def remove_repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text
                 )
 
     schema = "id long, kept binary, n_bytes long, n_removed long, removed array<struct<start:long,length:long>>"
-    return texts.join(gathered(runs), "id", "left").select("id", "text", "runs").mapInArrow(cut, schema).withColumnRenamed("id", id)
+    return packed.join(gathered(runs), "id", "left").select("id", "packed", "n_bytes", "runs").mapInArrow(cut, schema).withColumnRenamed("id", id)

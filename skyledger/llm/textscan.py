@@ -13,6 +13,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark.sql import DataFrame
 
 U64 = np.uint64
 # Odd bases of the two families of names and their inverses modulo 2**64.
@@ -105,6 +107,40 @@ def text_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def packed_texts(texts: DataFrame) -> DataFrame:
+    """``texts`` with (packed, n_bytes) for text: a compressed form for shuffles. Null is empty."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            for part in slices(batch, "text", 8 << 20):
+                data, offsets = text_column(part.column("text"))
+                raw = data.tobytes()
+                packed = [squeeze(raw[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
+                rest = [part.column(name) for name in others]
+                columns = [*rest, pa.array(packed, pa.binary()), pa.array(np.diff(offsets))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*others, "packed", "n_bytes"])
+
+    others = [name for name in texts.columns if name != "text"]
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in texts.select(*others).dtypes)
+    return texts.mapInArrow(pack, f"{schema}, packed binary, n_bytes long")
+
+
+def unpacked(batch: pa.RecordBatch, most_bytes: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Runs of rows of a batch with the bytes and offsets of their texts; a null text is empty."""
+    expand = zstandard.ZstdDecompressor().decompress
+    ends = np.cumsum(batch.column("n_bytes").to_numpy(zero_copy_only=False))
+    first = 0
+    while first < batch.num_rows:
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + most_bytes, side="right")))
+        part = batch.slice(first, last - first)
+        texts = [expand(one) if one is not None else b"" for one in part.column("packed").to_pylist()]
+        offsets = np.concatenate(([0], np.cumsum([len(one) for one in texts])))
+        yield part, np.frombuffer(b"".join(texts), dtype=np.uint8), offsets
+        first = last
+
+
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each word, and for each text the number of words before it (plus the total)."""
     space = np.zeros(256, dtype=bool)
