@@ -38,6 +38,10 @@ HEADLINE = [
     "most_watched_routes",
     "active_users_per_day",
     "latest_reply",
+    "log_actions",
+    "trip_flights",
+    "scan_flight_csvs",
+    "synced_index",
     "flight_status_event_stream",
 ]
 

@@ -20,7 +20,7 @@ def matching(df: DataFrame, **wanted: Any) -> DataFrame:
 
 def matching_given(df: DataFrame, **wanted: Any) -> DataFrame:
     """Equality filters; an argument that is None or empty drops its filter."""
-    return matching(df, **{name: value or None for name, value in wanted.items()})
+    return matching(df, **{name: None if value == "" else value for name, value in wanted.items()})
 
 
 def present(df: DataFrame, *columns: str) -> DataFrame:

@@ -10,7 +10,8 @@ from ..functions.once import with_once
 from ..functions.text import strip_space, words
 from ..schemas import CONTENT_TYPES, FIRST_SECTION, HEADING_TYPES, MAX_CHUNK_WORDS
 
-_INT_MAX = 2**31 - 1
+# Blocks of elements without an id come after those with one.
+_AFTER_IDS = 2**40
 
 
 def keep_content_types(elements: DataFrame) -> DataFrame:
@@ -19,9 +20,12 @@ def keep_content_types(elements: DataFrame) -> DataFrame:
 
 
 def flatten_elements(parsed: DataFrame) -> DataFrame:
-    """(path, parsed) to one row per content element; a document without elements has none."""
+    """(path, parsed) to one row per content element, with its place in the document.
+
+    A document without elements has no row; ``rejected_documents`` names those.
+    """
     elements = F.try_variant_get("parsed", "$.document.elements", "array<variant>")
-    rows = parsed.select(F.col("path").alias("source_document"), F.explode(elements).alias("_element"))
+    rows = parsed.select(F.col("path").alias("source_document"), F.posexplode(elements).alias("element_position", "_element"))
 
     def part(name: str, kind: str) -> Column:
         return F.try_variant_get("_element", f"$.{name}", kind)
@@ -29,6 +33,7 @@ def flatten_elements(parsed: DataFrame) -> DataFrame:
     return keep_content_types(
         rows.select(
             "source_document",
+            "element_position",
             part("id", "int").alias("element_id"),
             part("type", "string").alias("element_type"),
             part("content", "string").alias("content"),
@@ -48,24 +53,30 @@ def chunk_by_section(
 
     A heading starts a section and names it; a blank heading starts one under the old name. The
     heading is not part of the chunk text, and a section without words gives no chunk. Elements are
-    read by ``element_id`` (missing ids last). ``chunk_position`` counts through the document from 0.
+    read by ``element_id``, those with equal ids by ``element_position``, and those without an id
+    after the others by ``element_position``. Without that column ids must be present and distinct.
+    ``chunk_position`` counts through the document from 0.
 
     A document may be of any length, so none is sorted or collected as a whole. It is cut into
-    blocks of ``block_elements`` element ids. Running counts are taken inside each block; the last
+    blocks of ``block_elements`` element ids, or positions where ids are missing. Running counts are taken inside each block; the last
     row of a block carries its totals, and these (one row per block, at most 2**31 /
     ``block_elements`` for a document) are added up along the document and joined back. An
     element's words are then cut at chunk borders before they are grouped, so that a group holds
     ``max_words`` words at most.
     """
+    if "element_position" not in elements.columns:
+        elements = elements.withColumn("element_position", F.lit(0))
     is_heading = F.coalesce(F.col("element_type").isin(*HEADING_TYPES), F.lit(False))
     worded = with_once(
         elements, heading=is_heading, words=F.when(is_heading, F.array()).otherwise(words(F.col("content")))
     )
     blocked = worded.select(
         "source_document",
-        F.coalesce(F.floor(F.col("element_id") / block_elements), F.lit(_INT_MAX)).cast("int").alias("block"),
+        F.coalesce(
+            F.floor(F.col("element_id") / block_elements), F.floor(F.col("element_position") / block_elements) + _AFTER_IDS
+        ).alias("block"),
         "element_id",
-        "element_type",
+        "element_position",
         "heading",
         F.when(F.col("heading"), F.nullif(strip_space(F.col("content")), F.lit(""))).alias("name"),
         F.array_join("words", " ").alias("text"),
@@ -73,9 +84,7 @@ def chunk_by_section(
     )
 
     # Inside a block.
-    order = W.partitionBy("source_document", "block").orderBy(
-        F.col("element_id").asc_nulls_last(), "element_type", "name", "text"
-    )
+    order = W.partitionBy("source_document", "block").orderBy("element_id", "element_position")
     so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
     earlier = order.rowsBetween(W.unboundedPreceding, -1)
     at_heading = F.when(F.col("heading"), F.col("words_before"))

@@ -26,11 +26,18 @@ def tool_outcomes(action_log: DataFrame) -> DataFrame:
 
 
 def outcome_pivot(action_log: DataFrame, statuses: Sequence[str] = RESULT_STATUSES) -> DataFrame:
-    """Tool calls by action, one column per result; no calls count as 0."""
+    """Tool calls by action, one column per result; no calls count as 0.
+
+    Results that are not among ``statuses``, or missing, count in the column ``other``.
+    """
+    known = F.coalesce(F.col("result_status").isin(*statuses), F.lit(False))
     return (
         of_change(action_log, "insert")
         .groupBy("action_type")
-        .agg(*[F.count_if(F.col("result_status") == status).alias(status) for status in statuses])
+        .agg(
+            *[F.count_if(F.col("result_status") == status).alias(status) for status in statuses],
+            F.count_if(~known).alias("other"),
+        )
     )
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
@@ -57,8 +58,8 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 def _search_block(
     block: Sequence[tuple], corpus: DataFrame, query_field: T.StructField, id_field: T.StructField, k: int
-) -> DataFrame:
-    """Nearest corpus rows of at most ``QUERY_BLOCK`` queries.
+) -> tuple[DataFrame, Broadcast]:
+    """Nearest corpus rows of a block of queries, and the broadcast to destroy afterwards.
 
     The queries travel as one matrix of bounded size. Every task multiplies its rows with it and
     keeps ``k`` rows per query, so the final ranking sees ``k`` rows per query and task.
@@ -74,27 +75,43 @@ def _search_block(
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, queries = shared.value
-        best: list[list[tuple]] = [[] for _ in query_ids]
+        best: list[np.ndarray] = []  # query, similarity and id of the best rows so far
         for batch in batches:
-            batch = batch.filter(batch.column("embedding").is_valid())
             if not batch.num_rows:
                 continue
-            ids = batch.column(id_name)
             rows = _unit_rows(_matrix(batch.column("embedding"), width))
             scores = np.round(queries @ rows.T, SIMILARITY_DIGITS)
             cut = min(k, rows.shape[0])
             floors = np.partition(scores, rows.shape[0] - cut, axis=1)[:, rows.shape[0] - cut]
-            for position, floor in enumerate(floors):
-                near = np.flatnonzero(scores[position] >= floor)
-                found = zip((-scores[position, near]).tolist(), ids.take(pa.array(near)).to_pylist())
-                best[position] = sorted([*best[position], *found])[:k]
-        flat = [(query, row, -score) for query, rows in zip(query_ids, best) for score, row in rows]
-        if flat:
+            query, row = np.nonzero(scores >= floors[:, None])
+            ids = batch.column(id_name).to_numpy(zero_copy_only=False)
+            found = [query, scores[query, row], ids[row]]
+            best = _keep_best([np.concatenate(pair) for pair in zip(best, found)] if best else found, k)
+        if best:
+            query, score, ids = best
+            columns = [[query_ids[place] for place in query], score, ids]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(values, type=kind) for values, kind in zip(zip(*flat), output_types)], names=names
+                [pa.array(values, type=kind) for values, kind in zip([columns[0], columns[2], columns[1]], output_types)],
+                names=names,
             )
 
-    return corpus.select(id_name, "embedding").mapInArrow(search, output)
+    return corpus.select(id_name, "embedding").mapInArrow(search, output), shared
+
+
+def _keep_best(found: list[np.ndarray], k: int) -> list[np.ndarray]:
+    """The first ``k`` of each query by similarity, then id."""
+    query, score, ids = found
+    order = np.lexsort((np.unique(ids, return_inverse=True)[1], -score, query))
+    query = query[order]
+    heads = np.flatnonzero(np.concatenate(([True], query[1:] != query[:-1])))
+    rank = np.arange(len(query)) - np.repeat(heads, np.diff(np.append(heads, len(query))))
+    return [values[order[rank < k]] for values in found]
+
+
+def _comparable(rows: DataFrame) -> DataFrame:
+    """Rows whose embedding is there and holds numbers only."""
+    sound = F.forall("embedding", lambda value: value.isNotNull() & ~F.isnan(value))
+    return rows.filter(F.col("embedding").isNotNull() & sound)
 
 
 def topk_similar(
@@ -108,22 +125,29 @@ def topk_similar(
     """The ``k`` corpus rows with the largest cosine to each query, exact, ties by ``corpus_id``.
 
     Both sides have an ``embedding`` array column; the cosine is rounded to six digits before it
-    is ranked, and is 0 for a zero vector. Rows without an embedding are not compared. ``payload``
-    columns of the corpus (source document, section) come back with each hit, next to ``position``.
+    is ranked, and is 0 for a zero vector. Rows without an embedding, or with a missing or undefined
+    number in it, are not compared. ``payload`` columns of the corpus (source document, section) come
+    back with each hit, next to ``position``.
 
-    Up to ``QUERY_BLOCK`` queries make one lazy pass over the corpus. More queries are staged in
-    files of that size, and each file makes its own pass whose hits are written before the next.
+    Queries are dealt to blocks of about ``QUERY_BLOCK``, however they were partitioned. The corpus
+    vectors are written once; each block makes one pass over them and its hits are written, too.
     """
-    asked = queries.select(query_id, "embedding").filter(F.col("embedding").isNotNull())
-    query_field, id_field = asked.schema[query_id], corpus.schema[corpus_id]
-    head = asked.limit(QUERY_BLOCK + 1).collect()
-    if not head:
-        schema = T.StructType([query_field, id_field, T.StructField("similarity", T.DoubleType())])
-        near = corpus.sparkSession.createDataFrame([], schema)
-    elif len(head) <= QUERY_BLOCK:
-        near = _search_block(head, corpus, query_field, id_field, k)
-    else:
-        near = _search_staged(asked, corpus, query_field, id_field, k)
+    spark = corpus.sparkSession
+    folder = work_dir(spark, "nearest")
+    query_field, id_field = queries.schema[query_id], corpus.schema[corpus_id]
+    _comparable(queries.select(query_id, "embedding")).write.parquet(f"{folder}/queries")
+    _comparable(corpus.select(corpus_id, "embedding")).write.parquet(f"{folder}/corpus")
+    asked = spark.read.schema(queries.select(query_id, "embedding").schema).parquet(f"{folder}/queries")
+    vectors = spark.read.schema(corpus.select(corpus_id, "embedding").schema).parquet(f"{folder}/corpus")
+    near = spark.createDataFrame([], T.StructType([query_field, id_field, T.StructField("similarity", T.DoubleType())]))
+    passes = -(-asked.count() // QUERY_BLOCK)
+    for number in range(passes):
+        block = asked.filter(F.pmod(F.xxhash64(query_id, "embedding"), F.lit(passes)) == number).collect()
+        if block:
+            hits, shared = _search_block(block, vectors, query_field, id_field, k)
+            hits.write.parquet(f"{folder}/hits/block={number}")
+            shared.destroy()
+            near = near.unionByName(spark.read.schema(near.schema).parquet(f"{folder}/hits/block={number}"))
     order = [F.desc("similarity"), F.asc(corpus_id)]
     hits = rank_within(near, query_id, order, k)
     if payload:
@@ -131,20 +155,6 @@ def topk_similar(
     return hits
 
 
-def _search_staged(
-    asked: DataFrame, corpus: DataFrame, query_field: T.StructField, id_field: T.StructField, k: int
-) -> DataFrame:
-    spark = corpus.sparkSession
-    folder = work_dir(spark, "nearest")
-    asked.write.option("maxRecordsPerFile", QUERY_BLOCK).parquet(f"{folder}/queries")
-    for number, path in enumerate(sorted(spark.read.parquet(f"{folder}/queries").inputFiles())):
-        block = spark.read.schema(asked.schema).parquet(path).collect()
-        if block:
-            near = _search_block(block, corpus, query_field, id_field, k)
-            near.write.parquet(f"{folder}/hits/block={number}")
-    return spark.read.parquet(f"{folder}/hits").drop("block")
-
-
 def rank_within(df: DataFrame, group: str, order: Sequence, k: int) -> DataFrame:
     """The first ``k`` rows of every group, numbered from 1 in ``position``."""
     window = W.partitionBy(group).orderBy(*order)
@@ -159,7 +169,11 @@ def sync_index(
     key: str = "chunk_id",
 ) -> DataFrame:
     """The index after a new version of the chunks: only new and changed chunks are embedded."""
+    # Written once, as its two uses would compare the versions twice.
+    spark, folder = index.sparkSession, work_dir(index.sparkSession, "feed")
     feed = change_feed(old_chunks, new_chunks, [key])
+    feed.write.parquet(folder)
+    feed = spark.read.schema(feed.schema).parquet(folder)
     gone = feed.filter(F.col("_change_type").isin("delete", "update_preimage")).select(key)
     fresh = feed.filter(F.col("_change_type").isin("insert", "update_postimage"))
     kept = index.join(gone, key, "left_anti")

@@ -13,11 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.once import with_once
 from ..functions.predicates import matching, matching_given, present
 from ..functions.text import natural_id
 from ..schemas import ALERT_TYPES, APP_TOOLS, CHANGE_TIME, CHANGE_TYPE, SERVED_TOOL_PREFIX
 from .flights import keep_first
-from .joins import join_unique, look_up
+from .joins import join_unique, look_up, own_shuffle
 
 WATCH_COLUMNS = [
     "watch_id", "user_id", "flight_number", "flight_date", "origin_airport", "destination_airport",
@@ -80,10 +81,13 @@ def fold_changes(
     the changed keys are measured to be few enough to broadcast.
     """
     key = list(key)
-    changed = changes.select(*key).distinct()
-    touched = compacted.join(changed, key, "left_semi")
-    untouched = compacted.join(changed, key, "left_anti")
-    return untouched.unionByName(compact_history(touched.unionByName(changes), key, tie_break))
+    changed = own_shuffle(changes.select(*key).distinct().withColumn("_changed", F.lit(True)), key)
+    marked = compacted.join(changed, key, "left").select(*compacted.columns, F.coalesce("_changed", F.lit(False)).alias("_changed"))
+    # Rows of untouched keys have no rival, so the fold of the marked history leaves them as they are.
+    incoming = changes.select(*compacted.columns, F.lit(True).alias("_changed"))
+    every = marked.unionByName(incoming)
+    untouched = every.filter("NOT _changed").drop("_changed")
+    return untouched.unionByName(compact_history(every.filter("_changed").drop("_changed"), key, tie_break))
 
 
 def changes(outcomes: DataFrame, columns: Sequence[str], change_type: str, at: str = "issued_at") -> DataFrame:
@@ -209,6 +213,7 @@ def create_trips(commands: DataFrame, users: DataFrame, watches: DataFrame) -> D
             _refusal(
                 _unknown("user", "user_id"),
                 (F.col("trip_name").isNull(), "trip_name is missing"),
+                (F.col("watch_ids").isNull(), "watch_ids is missing"),
                 (F.coalesce("_unknown_watch", has_null, F.lit(False)), "unknown watch in trip"),
                 (repeated, "watch listed twice in trip"),
             ),
@@ -231,9 +236,9 @@ def trip_flights_of(trips: DataFrame, links: DataFrame, watches: DataFrame, trip
     if trip_id is not None and wanted.isEmpty():
         raise ValueError(f"unknown trip {trip_id}")
     flights = watches.select("watch_id", "flight_number", "flight_date", "status")
-    named = join_unique(chosen, wanted.select("trip_id", "trip_name"), ["trip_id"])
+    named = chosen.join(wanted.select("trip_id", "trip_name"), "trip_id")
     return (
-        join_unique(named, flights, ["watch_id"])
+        named.join(flights, "watch_id")
         .select("trip_id", "trip_name", "watch_id", "flight_number", "flight_date", "status")
         .orderBy("trip_id", "flight_date", "watch_id")
     )
@@ -281,9 +286,9 @@ def list_alerts(
 ) -> DataFrame:
     """Alerts with their flight and e-mail address, newest first; empty arguments filter nothing."""
     flights = matching_given(watches, user_id=user_id).select("watch_id", "user_id", "flight_number", "flight_date")
-    chosen = join_unique(matching_given(alerts, status=status), flights, ["watch_id"])
+    chosen = matching_given(alerts, status=status).join(flights, "watch_id")
     return (
-        join_unique(chosen, users.select("user_id", "email"), ["user_id"])
+        chosen.join(users.select("user_id", "email"), "user_id")
         .select(
             "alert_id", "alert_type", "threshold_minutes", "status", "triggered_at", "created_at",
             "flight_number", "flight_date", "email",
@@ -321,12 +326,19 @@ def log_actions(calls: DataFrame) -> DataFrame:
 
     Calls: call_id, user_id, tool_name, is_mcp, arguments (JSON object as text), error (text raised
     by the call, or NULL), reported_error (a served tool answered with an error), called_at. The
-    text of a raised error is merged into the payload. Served tools are logged with a prefix; a call
+    text of a raised error is merged into the payload. Arguments that are broken, no object, or name
+    something twice are kept as text under ``raw_arguments``. Served tools are logged with a prefix; a call
     to an app tool that does not exist is refused before it is logged and leaves no row.
     """
     served = F.coalesce("is_mcp", F.lit(False))
-    arguments = F.coalesce(F.from_json("arguments", "map<string,variant>"), F.from_json(F.lit("{}"), "map<string,variant>"))
-    others = F.map_filter(arguments, lambda name, _: name != "error")
+    object_kind = "map<string,variant>"
+    # A map cannot hold a name twice, and only objects become one.
+    is_object = F.json_object_keys("arguments").isNotNull() & F.try_parse_json("arguments").isNotNull()
+    kept = F.when(F.col("arguments").isNull(), F.lit("{}")).otherwise(
+        F.to_json(F.create_map(F.lit("raw_arguments"), F.col("arguments")))
+    )
+    calls = with_once(calls, _arguments=F.from_json(F.when(is_object, F.col("arguments")).otherwise(kept), object_kind))
+    others = F.map_filter("_arguments", lambda name, _: name != "error")
     merged = F.map_concat(others, F.create_map(F.lit("error"), F.col("error").cast("variant")))
     failed = F.col("error").isNotNull() | (served & F.coalesce("reported_error", F.lit(False)))
     return calls.filter(served | F.col("tool_name").isin(*APP_TOOLS)).select(
@@ -335,7 +347,7 @@ def log_actions(calls: DataFrame) -> DataFrame:
         F.when(
             served, F.concat(F.lit(SERVED_TOOL_PREFIX), F.coalesce("tool_name", F.lit("unknown")))
         ).otherwise(F.col("tool_name")).alias("action_type"),
-        F.when(F.col("error").isNotNull(), F.to_json(merged)).otherwise(F.to_json(arguments)).alias("action_payload"),
+        F.when(F.col("error").isNotNull(), F.to_json(merged)).otherwise(F.to_json("_arguments")).alias("action_payload"),
         F.when(failed, "error").otherwise("success").alias("result_status"),
         F.col("called_at").alias("created_at"),
     )

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.live import live_flight_status
 from ..sources.landing import land_flight_polls
 from ..sources.tables import read_folder_stream, read_landing_stream
+from ..streaming.alerts import alert_writer
 from ..streaming.status_events import STATE_TTL_MS, flight_status_events
 
 
@@ -23,10 +26,13 @@ def start_live_job(
     every: str = "10 seconds",
     ttl_ms: int = STATE_TTL_MS,
     watermark: str | None = None,
+    load_watches: Callable[[], DataFrame] | None = None,
+    load_alerts: Callable[[], DataFrame] | None = None,
 ) -> list[StreamingQuery]:
-    """Start the two streams: landing rows to ``live_flight_status``, and these to ``flight_status_events``.
+    """Start the streams: landing rows to ``live_flight_status``, and these to ``flight_status_events``.
 
-    Both are parquet folders below ``root``, written exactly once; checkpoints lie next to them.
+    Both are parquet folders below ``root``, written exactly once; checkpoints lie next to them. Given
+    the current watches and alerts, a third stream writes fired alerts to ``fired_alerts``.
     """
     root = root.rstrip("/")
 
@@ -39,4 +45,12 @@ def start_live_job(
     spark.createDataFrame([], status.schema).write.mode("append").parquet(folder)
     snapshots = read_folder_stream(spark, folder, status.schema, partition_by=["flight_date"])
     events = flight_status_events(snapshots, ttl_ms, watermark)
-    return [start(status, "live_flight_status"), start(events, "flight_status_events")]
+    queries = [start(status, "live_flight_status"), start(events, "flight_status_events")]
+    if load_watches and load_alerts:
+        folder = f"{root}/flight_status_events"
+        spark.createDataFrame([], events.schema).write.mode("append").partitionBy("flight_date").parquet(folder)
+        landings = read_folder_stream(spark, folder, events.schema, partition_by=["flight_date"])
+        writer = alert_writer(landings, load_watches, load_alerts, f"{root}/fired_alerts").queryName("fired_alerts")
+        writer = writer.option("checkpointLocation", f"{root}/_checkpoints/fired_alerts")
+        queries.append(writer.trigger(processingTime=every).start())
+    return queries

@@ -114,6 +114,18 @@ def coverage_check(spark, sf_dir):
     return flights.coverage_check(flights.file_coverage(_monthly(spark, sf_dir)))
 
 
+@query("""SELECT count(DISTINCT month(FlightDate)) AS file_count, count(*) AS row_count,
+                 count(DISTINCT month(FlightDate)) = 12 AS complete FROM {flights}""")
+def scanned_coverage(spark, sf_dir):
+    folder = work_dir(spark, "csv")
+    rows = table(spark, sf_dir, "flights")
+    rows = rows.select(F.month("FlightDate").alias("month"), *[F.col(name).cast("string") for name in rows.columns])
+    for month in range(1, 13):  # a file for each month
+        monthly = rows.filter(F.col("month") == month).drop("month").coalesce(1)
+        monthly.write.mode("append").option("header", True).csv(folder)
+    return flights.coverage_check(flights.file_coverage(csv_flights.scan_flight_csvs(spark, folder)))
+
+
 def _lookups(spark, sf_dir):
     delay_stats(spark, sf_dir).createOrReplaceTempView("flights_historical_enriched")
     create_lookup_functions(spark, delay_stats="flights_historical_enriched")
@@ -387,8 +399,8 @@ chunks AS (
                     AS chunk_position FROM joined))"""
 
 
-def _parsed(spark, sf_dir) -> DataFrame:
-    """Documents as the parser leaves them: one element per line."""
+def _document_texts(spark, sf_dir, id_of=lambda position: position) -> DataFrame:
+    """Documents as JSON (path, doc_id, content), one element per line; ``id_of`` gives element ids."""
 
     def element(line, position):
         kind = (
@@ -397,18 +409,22 @@ def _parsed(spark, sf_dir) -> DataFrame:
             .when(position % 7 == 6, "page_footer")
             .otherwise("text")
         )
-        return F.struct(position.alias("id"), kind.alias("type"), line.alias("content"))
+        return F.struct(id_of(position).alias("id"), kind.alias("type"), line.alias("content"))
 
     elements = F.transform(F.split("text", "\n"), element)
-    return documents.parse_json_documents(
-        table(spark, sf_dir, "documents").select(
-            F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("path"),
-            F.to_json(F.struct(F.struct(elements.alias("elements")).alias("document"))).alias("content"),
-        )
+    return table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("path"),
+        "doc_id",
+        F.to_json(F.struct(F.struct(elements.alias("elements")).alias("document"))).alias("content"),
     )
 
 
-@query(f"WITH {_LINES} SELECT * FROM elements WHERE element_type <> 'page_footer'")
+def _parsed(spark, sf_dir) -> DataFrame:
+    """Documents as the parser leaves them."""
+    return documents.parse_json_documents(_document_texts(spark, sf_dir))
+
+
+@query(f"WITH {_LINES} SELECT *, element_id AS element_position FROM elements WHERE element_type <> 'page_footer'")
 def document_elements(spark, sf_dir):
     return chunking.flatten_elements(_parsed(spark, sf_dir))
 
@@ -424,11 +440,50 @@ def short_section_chunks(spark, sf_dir):
     return chunking.chunk_by_section(elements, max_words=100, block_elements=5)
 
 
+def _chunks_with_ids(spark, sf_dir, id_of) -> DataFrame:
+    parsed = documents.parse_json_documents(_document_texts(spark, sf_dir, id_of))
+    return chunking.chunk_by_section(chunking.flatten_elements(parsed), max_words=100, block_elements=5)
+
+
+@query(f"WITH {_chunks_sql(100)} SELECT * FROM chunks")
+def chunks_without_ids(spark, sf_dir):
+    return _chunks_with_ids(spark, sf_dir, lambda position: F.lit(None).cast("int"))
+
+
+@query(f"WITH {_chunks_sql(100)} SELECT * FROM chunks")
+def chunks_of_equal_ids(spark, sf_dir):
+    return _chunks_with_ids(spark, sf_dir, lambda position: F.lit(3))
+
+
+@query(f"WITH {_chunks_sql(100)} SELECT * FROM chunks")
+def chunks_of_text_ids(spark, sf_dir):
+    return _chunks_with_ids(spark, sf_dir, lambda position: F.concat(F.lit("e"), (1000 - position).cast("string")))
+
+
+@query("""SELECT concat('doc', CAST(doc_id AS VARCHAR), CASE WHEN doc_id % 13 = 5 THEN '.txt' ELSE '.json' END) AS path,
+                 CASE WHEN doc_id % 13 = 5 THEN 'unknown file type'
+                      WHEN doc_id % 7 = 3 THEN 'not read as JSON: broken, or above a limit of the parser'
+                      WHEN doc_id % 11 = 4 THEN 'no list of elements' ELSE 'no elements' END AS reason
+          FROM {documents} WHERE doc_id % 13 = 5 OR doc_id % 7 = 3 OR doc_id % 11 = 4 OR doc_id % 17 = 6""")
+def rejected_documents(spark, sf_dir):
+    number = F.col("doc_id")
+    content = (
+        F.when(number % 7 == 3, F.substring("content", 1, 30))
+        .when(number % 11 == 4, F.lit('{"document":{}}'))
+        .when(number % 17 == 6, F.lit('{"document":{"elements":[]}}'))
+        .otherwise(F.col("content"))
+    )
+    extension = F.when(number % 13 == 5, ".txt").otherwise(".json")
+    scanned = _document_texts(spark, sf_dir).select(F.concat("path", extension).alias("path"), content.alias("content"))
+    parsed = documents.parse_json_documents(scanned.filter(F.col("path").endswith(".json")))
+    return documents.rejected_documents(scanned, parsed).select("path", "reason")
+
+
 def _pages(spark, sf_dir):
     return documents.parse_html(table(spark, sf_dir, "pages").select(F.col("url").alias("path"), "html"))
 
 
-@query(f"WITH {_PAGES} SELECT * FROM elements WHERE element_type <> 'page_footer'")
+@query(f"WITH {_PAGES} SELECT *, element_id AS element_position FROM elements WHERE element_type <> 'page_footer'")
 def page_elements(spark, sf_dir):
     return chunking.flatten_elements(_pages(spark, sf_dir))
 
@@ -749,7 +804,9 @@ def tool_outcomes(spark, sf_dir):
 
 
 @query(f"""SELECT action_type, count(*) FILTER (WHERE result_status = 'success') AS success,
-                  count(*) FILTER (WHERE result_status = 'error') AS error {_INSERTS} GROUP BY action_type""")
+                  count(*) FILTER (WHERE result_status = 'error') AS error,
+                  count(*) FILTER (WHERE result_status IS NULL OR result_status NOT IN ('success', 'error')) AS other
+           {_INSERTS} GROUP BY action_type""")
 def outcome_pivot(spark, sf_dir):
     return metrics.outcome_pivot(_log(spark, sf_dir))
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,30 +27,46 @@ def drop_junk_columns(df: DataFrame) -> DataFrame:
     return df.drop(*[name for name in df.columns if _JUNK.fullmatch(name)])
 
 
-def _header(spark: SparkSession, path: str) -> str:
-    first = spark.read.text(path).take(1)
-    return first[0].value if first else ""
+def _headers(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """Paths of the CSV files by header line, the first one that is not blank, found in one job.
+
+    A non-empty file without such a line is refused.
+    """
+    lines = spark.read.option("pathGlobFilter", "*.[cC][sS][vV]").text(folder)
+    lines = lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    # One line per split is kept before the shuffle, and one per file after it.
+    first = (
+        lines.filter(F.trim(F.regexp_replace("value", r"\s+", " ")) != "")
+        .groupBy("path")
+        .agg(F.min_by("value", F.struct("block", "place")).alias("header"))
+    )
+    files = list_csv_files(spark, folder).filter("length > 0").select("path")
+    by_header: dict[str, list[str]] = defaultdict(list)
+    for row in files.join(first, "path", "left").orderBy("path").toLocalIterator():
+        if row.header is None:
+            raise ValueError(f"{row.path} has no header")
+        by_header[row.header].append(row.path)
+    return by_header
 
 
 def scan_flight_csvs(spark: SparkSession, folder: str, one_header: bool = False) -> DataFrame:
     """All CSV files of a folder, bound by column name, every column as text, plus ``source_file``.
 
     Spark binds CSV columns by position, so files are grouped by their header line and each group
-    is read on its own. The driver sees one line per file. With ``one_header`` the caller states
+    is read on its own. The header is the first line that is not blank; the driver sees one line per
+    file. With ``one_header`` the caller states
     that all headers are equal: no header is read ahead, and Spark fails the job on a file that
     differs.
     """
     if one_header:
         groups = [[f"{folder.rstrip('/')}/*.[cC][sS][vV]"]]
     else:
-        paths = sorted(row.path for row in list_csv_files(spark, folder).select("path").toLocalIterator())
-        with ThreadPoolExecutor(16) as pool:
-            headers = list(pool.map(lambda path: _header(spark, path), paths))
-        by_header = defaultdict(list)
-        for path, header in zip(paths, headers):
-            if header:
-                by_header[header].append(path)
-        groups = list(by_header.values())
+        groups = list(_headers(spark, folder).values())
     if not groups:
         raise FileNotFoundError(f"no CSV file with a header in {folder}")
 

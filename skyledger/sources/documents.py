@@ -28,6 +28,8 @@ _TYPE_OF_TAG = {
 }
 _MARGIN = {"nav": "page_header", "header": "page_header", "footer": "page_footer"}
 _UNSEEN = {"script", "style", "noscript", "template"}
+# A header in one of these heads content, not the page.
+_CONTENT = {"article", "section", "main"}
 _BLOCKS = {"article", "section", "main", "div", "ul", "ol", "body", "blockquote", "pre", "hr"}
 
 
@@ -41,6 +43,7 @@ class _ElementReader(HTMLParser):
         self._type = "text"
         self._margins: list[str] = []
         self._unseen = 0
+        self._inner = 0
         self._tables = 0
 
     def _flush(self, next_type: str = "text") -> None:
@@ -52,9 +55,16 @@ class _ElementReader(HTMLParser):
         self._type = next_type
 
     def handle_starttag(self, tag: str, attrs) -> None:
+        if tag in _CONTENT:
+            # Content ends whatever was left open before it, outside of a footer's own sections.
+            if "footer" not in self._margins:
+                self._flush()
+                self._margins.clear()
+            self._unseen = 0
+            self._inner += 1
         if tag in _UNSEEN:
             self._unseen += 1
-        elif tag in _MARGIN:
+        elif tag in _MARGIN and not (tag == "header" and self._inner):
             self._flush()
             self._margins.append(tag)
         elif self._tables and tag not in ("table", "caption"):
@@ -68,6 +78,8 @@ class _ElementReader(HTMLParser):
             self._parts.append(" ")
 
     def handle_endtag(self, tag: str) -> None:
+        if tag in _CONTENT:
+            self._inner = max(0, self._inner - 1)
         if tag in _UNSEEN:
             self._unseen = max(0, self._unseen - 1)
         elif tag in _MARGIN:
@@ -109,13 +121,14 @@ def scan_documents(spark: SparkSession, folder: str, names: str = "*") -> DataFr
 
 
 def _as_document(elements: Column) -> Column:
-    return F.parse_json(F.to_json(F.struct(F.struct(elements.alias("elements")).alias("document"))))
+    return F.to_variant_object(F.struct(F.struct(elements.alias("elements")).alias("document")))
 
 
 def parse_html(pages: DataFrame) -> DataFrame:
     """(path, html) to (path, parsed), a variant with ``document.elements[]`` of id, type, content.
 
-    Pages are parsed in Python, whole and independently of each other.
+    Pages are parsed in Python, whole and independently of each other. A variant holds up to 128 MiB;
+    a NULL page gives a document without elements.
     """
     parsed = pages.select("path", "html").mapInPandas(_read_pages, f"path string, elements {ELEMENTS}")
     return parsed.select("path", _as_document(F.col("elements")).alias("parsed"))
@@ -126,8 +139,39 @@ def parse_json_documents(documents: DataFrame) -> DataFrame:
     return documents.select("path", F.try_parse_json(F.col("content").cast("string")).alias("parsed"))
 
 
+_KINDS = {"html": "html", "htm": "html", "json": "json"}
+
+
+def _kind(path: Column) -> Column:
+    """'html', 'json' or NULL, by the extension in any case."""
+    extension = F.lower(F.regexp_extract(path, r"\.([^./]*)$", 1))
+    return F.coalesce(*[F.when(extension == name, kind) for name, kind in _KINDS.items()])
+
+
 def parse_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, parsed) of the HTML pages and parsed JSON documents of a folder; each file is read once."""
-    pages = scan_documents(spark, folder, "*.{html,htm}")
+    """(path, parsed) of the HTML pages and parsed JSON documents of a folder, extensions in any case.
+
+    Each file is read once. ``rejected_documents`` accounts for the files that give nothing.
+    """
+    pages = scan_documents(spark, folder, "*.{[hH][tT][mM][lL],[hH][tT][mM]}")
     parsed = parse_html(pages.select("path", F.col("content").cast("string").alias("html")))
-    return parsed.unionByName(parse_json_documents(scan_documents(spark, folder, "*.json")))
+    return parsed.unionByName(parse_json_documents(scan_documents(spark, folder, "*.[jJ][sS][oO][nN]")))
+
+
+def rejected_documents(scanned: DataFrame, parsed: DataFrame) -> DataFrame:
+    """(path, length, reason) of every scanned document that gives no element.
+
+    ``scanned`` has path and content, ``parsed`` is the result of parsing it. Accepted and rejected
+    documents add up to the scanned ones. Spark does not list files of no bytes.
+    """
+    kind = _kind(F.col("path"))
+    elements = F.try_variant_get("parsed", "$.document.elements", "array<variant>")
+    outcome = parsed.select("path", F.col("parsed").isNull().alias("_broken"), F.size(elements).alias("_elements"))
+    reason = (
+        F.when(kind.isNull(), "unknown file type")
+        .when(F.coalesce("_broken", F.lit(True)), "not read as JSON: broken, or above a limit of the parser")
+        .when(F.col("_elements").isNull(), "no list of elements")
+        .when(F.col("_elements") == 0, "no elements")
+    )
+    sized = scanned.select("path", F.octet_length("content").cast("long").alias("length"))
+    return sized.join(outcome, "path", "left").select("path", "length", reason.alias("reason")).filter("reason IS NOT NULL")

@@ -2,36 +2,36 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..operators.state import apply_changes, match_alerts
+from ..operators.state import match_alerts
 
 
 def alert_writer(
     events: DataFrame,
     load_watches: Callable[[], DataFrame],
-    load_alert_history: Callable[[], DataFrame],
+    load_alerts: Callable[[], DataFrame],
     fired_path: str,
 ) -> DataStreamWriter:
     """Write alert history rows for the landings of every micro-batch; start the returned writer.
 
-    The state of the alerts is folded from their history and the rows written by earlier batches,
-    so an alert fires once. Each batch writes a folder of its own, which a retry overwrites. Move
-    written folders into the history from time to time to keep the fold short.
+    ``load_alerts`` gives the current alerts, as folded when the batch runs. An alert fires once: those
+    whose id stands below ``fired_path`` already are left out, whichever query or checkpoint wrote
+    them. Every batch of every start writes a folder of its own, so nothing is overwritten. Fold
+    written rows into the alerts from time to time and move their folders away.
     """
+    run = uuid.uuid4().hex
 
     def fire(batch: DataFrame, batch_id: int) -> None:
-        history = load_alert_history()
-        fired = batch.sparkSession.createDataFrame([], history.schema)
-        if batch_id > 0:
-            written = batch.sparkSession.read.schema(history.schema.add("batch", "long")).parquet(fired_path)
-            fired = written.filter(F.col("batch") < batch_id).drop("batch")
-        alerts = apply_changes(history, fired, ["alert_id"])
-        rows = match_alerts(batch, load_watches(), alerts)
-        rows.write.mode("overwrite").parquet(f"{fired_path}/batch={batch_id}")
+        spark = batch.sparkSession
+        rows = match_alerts(batch, load_watches(), load_alerts())
+        # An empty part gives the folder its schema on the first start.
+        rows.limit(0).write.mode("append").parquet(f"{fired_path}/run={run}")
+        fired = spark.read.schema(rows.schema).parquet(fired_path).select("alert_id").distinct()
+        rows.join(fired, "alert_id", "left_anti").select(*rows.columns).write.mode("append").parquet(f"{fired_path}/run={run}")
 
     return events.writeStream.foreachBatch(fire)

@@ -21,22 +21,25 @@ def stream_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-def drain(query: StreamingQuery, rows: int, timeout_seconds: float = 300) -> None:
-    """Stop ``query`` once it has committed ``rows`` input rows and then idles.
+def drain(query: StreamingQuery, rows: int, stall_seconds: float = 600) -> None:
+    """Stop ``query`` once it has committed ``rows`` input rows, or fail when it stands still.
 
-    A query with a processing-time timeout never ends by itself, so its progress is watched.
+    A query with a processing-time timeout never ends by itself, so its progress is watched. It may
+    take any time as long as a batch ends every ``stall_seconds``.
     """
-    deadline = time.monotonic() + timeout_seconds
     seen: dict[int, int] = {}
+    latest, moved = -1, time.monotonic()
     try:
-        while time.monotonic() < deadline:
+        while time.monotonic() < moved + stall_seconds:
             if query.exception() is not None:
                 raise query.exception()
             for progress in query.recentProgress:
                 seen[progress.batchId] = max(seen.get(progress.batchId, 0), progress.numInputRows)
             if sum(seen.values()) >= rows:
                 return
+            if max(seen, default=-1) > latest:
+                latest, moved = max(seen), time.monotonic()
             time.sleep(0.2)
-        raise TimeoutError(f"{sum(seen.values())} of {rows} rows read in {timeout_seconds} s")
+        raise TimeoutError(f"{sum(seen.values())} of {rows} rows read, and no batch ended in {stall_seconds} s")
     finally:
         query.stop()

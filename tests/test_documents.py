@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.text import is_valid_email, strip_space, words
 from skyledger.operators.chunking import chunk_by_section, flatten_elements
-from skyledger.sources.documents import parse_documents, parse_html, parse_json_documents, scan_documents
+from skyledger.sources.documents import parse_documents, parse_html, parse_json_documents, rejected_documents, scan_documents
 
 ELEMENTS = "source_document string, element_id int, element_type string, content string"
 HEADINGS = ("title", "section_header")
@@ -102,7 +102,7 @@ def test_flatten_keeps_content_types(spark, tmp_path):
     (tmp_path / "d.json").write_text("{bad")
     rows = flatten_elements(parse_json_documents(scan_documents(spark, str(tmp_path)))).collect()
     assert all(row.source_document.endswith("/a.json") for row in rows)
-    assert sorted([tuple(row)[1:] for row in rows], key=repr) == [
+    assert sorted([(row.element_id, row.element_type, row.content) for row in rows], key=repr) == [
         (0, "title", "T"), (3, "table", None), (None, "text", "c"),
     ]
 
@@ -154,3 +154,61 @@ def test_email(spark):
     invalid = [None, "", "a@b", "a@b.c", "a b@c.com", "a@b.com\n\n", "@b.com", "a@b.c0m", " a@b.com"]
     df = spark.createDataFrame([(e, e in valid) for e in valid + invalid], "email string, wanted boolean")
     assert df.filter(is_valid_email(F.col("email")) != F.col("wanted")).count() == 0
+
+
+def test_elements_without_usable_ids_keep_their_order(spark):
+    kinds = [("title", "Z head"), ("text", "zebra first"), ("text", "apple second"), ("section_header", "A next"), ("text", "mango third")]
+    for ids in ([None] * 5, [4] * 5, ["x", "y", "x", None, "z"]):
+        elements = [{"id": id, "type": kind, "content": content} for id, (kind, content) in zip(ids, kinds)]
+        parsed = parse_json_documents(spark.createDataFrame([("d", json.dumps({"document": {"elements": elements}}))], "path string, content string"))
+        found = chunk_by_section(flatten_elements(parsed), 100, 2).orderBy("chunk_position").collect()
+        assert [(row.section, row.chunk_text) for row in found] == [("Z head", "zebra first apple second"), ("A next", "mango third")]
+
+
+def test_long_document_without_ids(spark):
+    elements = [{"type": "section_header" if at % 40 == 9 else "text", "content": f"w{at} x"} for at in range(5000)]
+    parsed = parse_json_documents(spark.createDataFrame([("d", json.dumps({"document": {"elements": elements}}))], "path string, content string"))
+    rows = [("d", at, one["type"], one["content"]) for at, one in enumerate(elements)]
+    found = sorted(tuple(row) for row in chunk_by_section(flatten_elements(parsed), 30, 64).collect())
+    assert found == brute_chunks(rows, 30)
+
+
+def test_rejected_documents_account_for_the_scan(spark, tmp_path):
+    texts = {"a.json": '{"document":{"elements":[{"id":0,"type":"text","content":"x"}]}}', "B.JSON": "{bad", "c.json": "{}",
+             "d.json": '{"document":{"elements":[]}}', "P.HTML": "<p>hello", "q.htm": " ", "notes.txt": "x"}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    parsed = parse_documents(spark, str(tmp_path))
+    rejected = rejected_documents(scan_documents(spark, str(tmp_path)), parsed)
+    found = {row.path.rsplit("/", 1)[1]: (row.length, row.reason) for row in rejected.collect()}
+    assert found == {
+        "B.JSON": (4, "not read as JSON: broken, or above a limit of the parser"), "c.json": (2, "no list of elements"),
+        "d.json": (28, "no elements"), "q.htm": (1, "no elements"), "notes.txt": (1, "unknown file type"),
+    }
+    accepted = {row.source_document.rsplit("/", 1)[1] for row in flatten_elements(parsed).collect()}
+    assert accepted | set(found) == set(texts)
+
+
+def test_page_above_the_text_limit_of_json(spark):
+    word = "word " * (5 << 20)
+    pages = spark.createDataFrame([("big", f"<h1>Title</h1><p>{word}</p>"), ("small", "<p>x</p>")], "path string, html string")
+    found = {(row.source_document, row.element_type): row.size for row in
+             flatten_elements(parse_html(pages)).selectExpr("source_document", "element_type", "length(content) AS size").collect()}
+    assert found == {("big", "title"): 5, ("big", "text"): len(word) - 1, ("small", "text"): 1}
+
+
+def test_open_margins_end_where_content_starts(spark):
+    pages = {
+        "nav": "<nav>menu<main><h1>Real</h1><p>body</p></main>",
+        "unseen": "<noscript>off<article><p>seen</p></article>",
+        "header": "<header>site</header><article><header><h1>Title</h1></header><p>x</p></article>",
+        "footer": "<p>x</p><footer><section><p>legal</p></section></footer>",
+    }
+    df = spark.createDataFrame(list(pages.items()), "path string, html string")
+    found = {}
+    for row in flatten_elements(parse_html(df)).orderBy("source_document", "element_position").collect():
+        found.setdefault(row.source_document, []).append((row.element_type, row.content))
+    assert found == {
+        "nav": [("title", "Real"), ("text", "body")], "unseen": [("text", "seen")],
+        "header": [("title", "Title"), ("text", "x")], "footer": [("text", "x")],
+    }

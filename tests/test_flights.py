@@ -133,3 +133,14 @@ def test_permanent_and_temporary_lookup_functions(spark, tmp_path):
             spark.sql("DROP FUNCTION get_historical_delay_stats")
             spark.sql("DROP FUNCTION get_flight_status")
             spark.sql("DROP FUNCTION get_latest_flight_status")
+
+
+def test_scan_reads_past_a_blank_first_line(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("\n  \ny,x\n3,4\n")
+    (tmp_path / "empty.csv").write_text("")
+    rows = scan_flight_csvs(spark, str(tmp_path)).select("x", "y").collect()
+    assert sorted(map(tuple, rows)) == [("1", "2"), ("4", "3")]
+    (tmp_path / "c.csv").write_text("\n \n")
+    with pytest.raises(ValueError, match="no header"):
+        scan_flight_csvs(spark, str(tmp_path))
