@@ -76,9 +76,13 @@ def coded_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.n
 
 def bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Features and weights of each text; weights add up to 1."""
-    index, distinct, words, again = coded_words(pa.array(texts, pa.string()))
+    column = pa.record_batch([pa.array(texts, pa.string())], names=["text"])
+    return [bag for part in slices(column, "text") for bag in part_bags(part.column("text"))]
+
+
+def part_bags(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    index, distinct, words, again = coded_words(texts)
     buckets, offsets = word_features(distinct)
-    found = []
     for first, last in zip(words[:-1], words[1:]):
         used, counts = np.unique(index[first:last], return_counts=True)
         repeats = int(again[first:last].sum())
@@ -88,8 +92,7 @@ def bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         if repeats:
             flat, weights = np.append(flat, REPEATED), np.append(weights, repeats / (last - first + repeats))
         features, inverse = np.unique(flat, return_inverse=True)
-        found.append((features, np.bincount(inverse, weights, minlength=len(features))))
-    return found
+        yield features.astype(np.int32), np.bincount(inverse, weights, minlength=len(features)).astype(np.float32)
 
 
 def fit(texts: list[str], labels: np.ndarray, seed: int = 0) -> QualityModel:
@@ -123,7 +126,7 @@ def held_out(id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id).cast("string")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", sample_rows: int = 5000) -> QualityModel:
+def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", sample_rows: int = 4000) -> QualityModel:
     """Learns ``label`` from at most ``sample_rows`` labelled rows outside the held-out fifth.
 
     The sample is the first rows in order of a hash of the id. Labels other than 0 and 1 and null ids

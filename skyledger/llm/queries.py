@@ -93,6 +93,12 @@ QUERIES = {
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0b\f\r]+')"
 
+VECTORS = """vectors AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        )"""
+
 ORACLES = {
     "op1_substring_dedup": f"""
         WITH texts AS (SELECT doc_id, {WORDS} AS w FROM documents),
@@ -114,4 +120,55 @@ ORACLES = {
                sha256(coalesce(k.kept, '')) AS kept_sha256
         FROM texts t LEFT JOIN kept k USING (doc_id)
     """,
+    "op3_jaccard_join": f"""
+        WITH RECURSIVE texts AS (
+            SELECT doc_id, {WORDS.replace("text", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
+            FROM documents
+        ),
+        shingles AS (
+            SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 2], ' ')) AS h
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM texts WHERE len(w) > 0)
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+            FROM shingles a JOIN shingles b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL
+        ),
+        links AS (
+            SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * c >= 90 * (x.n + y.n - c)
+        ),
+        both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (
+            SELECT doc_id, doc_id AS other FROM texts
+            UNION SELECT r.doc_id, l.b FROM reach r JOIN both_ways l ON l.a = r.other
+        )
+        SELECT t.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS component_id
+        FROM texts t LEFT JOIN sizes s USING (doc_id) JOIN reach r USING (doc_id) GROUP BY t.doc_id
+    """,
+    "op5_embedding_dedup": f"""
+        WITH RECURSIVE {VECTORS},
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+        ),
+        reach AS (
+            SELECT vec_id, vec_id AS other FROM embeddings
+            UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.other
+        ),
+        counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(other) AS component_id, min(other) = vec_id AS kept
+        FROM reach LEFT JOIN counts USING (vec_id) GROUP BY vec_id
+    """,
+    "op7_nearest_neighbours": f"""
+        WITH {VECTORS},
+        scored AS (
+            SELECT q.vec_id AS query_id, v.vec_id,
+                   sqrt(list_reduce(list_transform(list_zip(q.e, v.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda a, b: a + b))
+                       AS score
+            FROM vectors q JOIN vectors v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM scored QUALIFY rank <= 10
+    """,
 }

@@ -21,7 +21,7 @@ from skyledger.operators.joins import own_shuffle
 
 ANCHOR_SCHEMA = "id long, first int, n int, copies int, place int, key long, span long"
 # Windows that travel in one row.
-BLOCK = 16
+BLOCK = 32
 
 # Elements of the texts of a slice: their values under both families of names, and text offsets.
 Reader = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]

@@ -111,7 +111,7 @@ def packed_texts(texts: DataFrame) -> DataFrame:
     """``texts`` with (packed, n_bytes) for text: a compressed form for shuffles. Null is empty."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1).compress
+        squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             for part in slices(batch, "text", 8 << 20):
                 data, offsets = text_column(part.column("text"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.textscan import slices
 from skyledger.llm.tokens import encoder, version_of
+from skyledger.operators.joins import own_shuffle
 from skyledger.session import work_dir
 
 CACHE_SCHEMA = "digest string, version string, n_tokens long"
@@ -54,4 +55,4 @@ def count_tokens(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str
     counts = spark.read.schema(CACHE_SCHEMA).parquet(cache).where(F.col("version") == version)
     # Jobs that fill one cache at a time may append a digest twice; both rows hold the same count.
     counts = counts.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
-    return keyed.withColumn("n_bytes", F.octet_length("text").cast("long")).join(counts, "digest").select(id, "n_bytes", "n_tokens")
+    return keyed.withColumn("n_bytes", F.octet_length("text").cast("long")).join(own_shuffle(counts, ["digest"]), "digest").select(id, "n_bytes", "n_tokens")

@@ -9,7 +9,7 @@ import pytest
 
 from skyledger.llm import jaccard_join
 from skyledger.llm.components import components, local_roots
-from skyledger.llm.jaccard_join import Trie, jaccard_components
+from skyledger.llm.jaccard_join import Trie, jaccard_components, overlap_needed, prefix_length, prefix_overlap_needed
 
 from .samples import documents, frame
 
@@ -49,6 +49,7 @@ def brute(rows, n, percent):
 @pytest.mark.parametrize("n,percent,block", [(3, 90, 256), (5, 80, 2), (1, 50, 3), (2, 100, 256)])
 def test_components_match_brute_force(spark, monkeypatch, n, percent, block):
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "FEW", 8 if block > 100 else 2)
     rows = documents(n)
     found = jaccard_components(frame(spark, rows, extra=True), n, percent)
     assert sorted(tuple(row) for row in found.collect()) == brute(rows, n, percent)
@@ -83,7 +84,8 @@ def test_trie_finds_all_pairs():
         sets = [np.array(sorted(draw.sample(list(universe), draw.randint(1, len(universe)))), dtype=">u8") for _ in range(draw.randint(1, 30))]
         queries = sets[: len(sets) // 2 + 1]
         percent = draw.choice([30, 50, 80, 90, 100])
-        x, y = Trie(sets).alike(queries, percent)
+        sizes = np.array([len(one) for one in sets])
+        x, y = Trie(sets, sizes).alike(queries, sizes[: len(queries)], overlap_needed(percent))
         wanted = set()
         for a, one in enumerate(queries):
             for b, other in enumerate(sets):
@@ -103,3 +105,19 @@ def test_components_of_links(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
     a, b = np.array([5, 9, 3, 20]), np.array([9, 7, 4, 21])
     assert dict(zip(*(one.tolist() for one in local_roots(a, b)))) == {3: 3, 4: 3, 5: 5, 7: 5, 9: 5, 20: 20, 21: 20}
+
+
+def test_prefixes_leave_every_alike_pair_possible():
+    draw = random.Random(5)
+    for _ in range(200):
+        percent = draw.choice([30, 50, 80, 90, 100])
+        base = draw.sample(range(1, 400), draw.randint(3, 60))
+        sets = []
+        for _ in range(12):
+            kept = [x for x in base if draw.random() > draw.choice([0, 0.02, 0.1, 0.4])] or base
+            sets.append(np.array(sorted({*kept, *draw.sample(range(1, 400), draw.choice([0, 1, 3, 10]))}), dtype=">u8"))
+        sizes = np.array([len(one) for one in sets])
+        prefixes = [one[: prefix_length(len(one), percent)] for one in sets]
+        possible = set(zip(*(at.tolist() for at in Trie(prefixes, sizes).alike(prefixes, sizes, prefix_overlap_needed(percent)))))
+        alike = set(zip(*(at.tolist() for at in Trie(sets, sizes).alike(sets, sizes, overlap_needed(percent)))))
+        assert alike <= possible
