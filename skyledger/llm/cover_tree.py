@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.components import components, local_roots
 from skyledger.llm.tables import stored
+from skyledger.llm.textscan import thrifty
 from skyledger.llm.vectors import matrix, usable_rows
 from skyledger.operators.joins import own_shuffle
 
@@ -123,7 +124,7 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.95, id: str = "vec_id", v
             continue
         reach = float(np.sqrt(2 - 2 * cosine)) + SLACK
         sent = spark.sparkContext.broadcast((chosen.column("id").to_numpy(), residents, cover_tree(residents, np.arange(len(residents)), reach)))
-        found.append(stored(sound.mapInArrow(links_with(sent, length, cosine), "a long, b long, n long"), "near-pairs"))
+        found.append(stored(sound.mapInArrow(thrifty(links_with(sent, length, cosine)), "a long, b long, n long"), "near-pairs"))
         sent.destroy()
     out = rows.select(F.col(id).alias("id"))
     if not found:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.components import components, local_roots
 from skyledger.llm.tables import stored
-from skyledger.llm.textscan import U64, Names, flat_ranges, lower_ascii, mix, packed_texts, slices, text_column, unpacked, word_bounds, word_names
+from skyledger.llm.textscan import U64, Names, flat_ranges, lower_ascii, mix, packed_texts, slices, text_column, thrifty, unpacked, word_bounds, word_names
 from skyledger.operators.joins import own_shuffle
 
 # Sets of one block; larger meetings are cut into pairs of blocks.
@@ -27,7 +27,7 @@ FEW = 8
 # Most frequent n-grams that are known to be so; all others are ordered by their names.
 FREQUENT = 1 << 19
 # N-grams among which a task looks for frequent ones, and how often it must see one.
-SEEN_TOGETHER, SEEN_TIMES = 4_000_000, 2
+SEEN_TOGETHER, SEEN_TIMES = 2_000_000, 2
 SLICE_BYTES = 1 << 20
 
 
@@ -77,7 +77,7 @@ def frequent_ngrams(texts: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
         if held:
             yield flush()
 
-    seen = texts.select("text").mapInArrow(scan, "name long, times long")
+    seen = texts.select("text").mapInArrow(thrifty(scan), "name long, times long")
     top = seen.groupBy("name").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "name").limit(FREQUENT)
     names = top.toArrow().column("name").to_numpy()[::-1]
     by_name = np.argsort(names)
@@ -122,7 +122,7 @@ def set_rows(texts: DataFrame, n: int, percent: int, sent) -> DataFrame:
                     names=["id", "size", "sum_a", "sum_b", "prefix"],
                 )
 
-    return texts.mapInArrow(scan, "id long, size long, sum_a long, sum_b long, prefix array<long>")
+    return texts.mapInArrow(thrifty(scan), "id long, size long, sum_a long, sum_b long, prefix array<long>")
 
 
 def meetings(classes: DataFrame, percent: int) -> DataFrame:
@@ -145,7 +145,7 @@ def meetings(classes: DataFrame, percent: int) -> DataFrame:
     sent = units(many).select(F.col("id").alias("class"), F.explode("units").alias("unit"))
     prefixes = classes.select("class", "size", packed_prefix("prefix").alias("names"))
     sent = sent.join(own_shuffle(prefixes, ["class"]), "class").select("unit.*", F.col("class").alias("id"), "names", "size")
-    many = at_units(sent).mapInArrow(by_unit(with_partner(percent), ["class", "host"]), "class long, host long").distinct()
+    many = at_units(sent).mapInArrow(thrifty(by_unit(with_partner(percent), ["class", "host"])), "class long, host long").distinct()
     counted = met.where(F.col("number") <= FEW).select(F.explode("earlier").alias("a"), F.col("class").alias("b"))
     counted = counted.groupBy("a", "b").agg(F.count("*").alias("shared"))
     # The last n-gram of the prefix, as a number whose signed order is the global one.
@@ -403,8 +403,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id: str =
     same = stored(same.distinct(), "equal-sets")
     speakers = known.join(own_shuffle(same.where("id = class").select("id"), ["id"]), "id", "left_semi")
     goes = units(stored(meetings(speakers.select(F.col("id").alias("class"), "size", "prefix"), percent), "meetings"))
-    rows = packed_texts(texts).join(goes, "id").select("id", "packed", "n_bytes", "units").mapInArrow(unit_rows(n, sent), UNIT_SCHEMA)
-    links = stored(at_units(rows).mapInArrow(by_unit(linked(percent), ["a", "b"]), "a long, b long"), "links")
+    rows = packed_texts(texts).join(goes, "id").select("id", "packed", "n_bytes", "units").mapInArrow(thrifty(unit_rows(n, sent)), UNIT_SCHEMA)
+    links = stored(at_units(rows).mapInArrow(thrifty(by_unit(linked(percent), ["a", "b"])), "a long, b long"), "links")
     groups = components(links).withColumnRenamed("id", "class")
     found = same.join(own_shuffle(groups, ["class"]), "class", "left")
     # The least id of a component may belong to an equal set: classes are named by their least id.

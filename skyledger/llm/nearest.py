@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.tables import stored
+from skyledger.llm.textscan import thrifty
 from skyledger.llm.vectors import matrix, usable_rows
 
 # Standard deviations of the estimate that a vector must miss by to be passed over.
@@ -53,7 +54,7 @@ def build_index(rows: DataFrame, id: str = "vec_id", vector: str = "embedding",
 
     kind = dict(sound.dtypes)["vector"]
     schema = f"id long, vector {kind}, signs binary, norm double, share double"
-    return stored(sound.mapInArrow(encode, schema) if length else sound.selectExpr("id", "vector", "binary('') signs", "0d norm", "1d share"), "codes"), centre, turn
+    return stored(sound.mapInArrow(thrifty(encode), schema) if length else sound.selectExpr("id", "vector", "binary('') signs", "0d norm", "1d share"), "codes"), centre, turn
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -151,7 +152,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, id: str = "vec_id"
         if not chosen.num_rows:
             continue
         sent = spark.sparkContext.broadcast((chosen.column("id").to_numpy(), matrix(chosen.column("vector").combine_chunks(), length)))
-        hits = stored(index.mapInArrow(search_batch(sent, centre, turn, k), found.schema), "hits")
+        hits = stored(index.mapInArrow(thrifty(search_batch(sent, centre, turn, k)), found.schema), "hits")
         sent.destroy()
         found = found.unionByName(hits)
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")

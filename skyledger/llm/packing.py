@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.ranks import dense_ranks
 from skyledger.llm.tables import stored
-from skyledger.llm.textscan import slices
+from skyledger.llm.textscan import slices, thrifty
 from skyledger.llm.tokens import encoder
 
 # Text encoded at a time; words are looked up once per distinct word of it.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 class RoomTree:
@@ -153,7 +153,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id
 
     schema = "id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if keep_ids else "")
     texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    return texts.mapInArrow(encode, schema).withColumnRenamed("id", id)
+    return texts.mapInArrow(thrifty(encode), schema).withColumnRenamed("id", id)
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, id: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
@@ -190,4 +190,4 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1,
     kept = pieces.columns
     schema = ", ".join(f"`{name}` {kind}" for name, kind in pieces.dtypes) + ", sequence_id long, offset long"
     ranked = dense_ranks(pieces, "length", [id, "piece", "ids_crc32"], "rank")
-    return ranked.mapInArrow(assign, schema)
+    return ranked.mapInArrow(thrifty(assign), schema)

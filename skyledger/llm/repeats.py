@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.anchors import Anchors
-from skyledger.llm.textscan import U64, Names, flat_ranges, slices, text_column, unpacked
+from skyledger.llm.textscan import U64, Names, flat_ranges, slices, text_column, thrifty, unpacked
 from skyledger.operators.joins import own_shuffle
 
 ANCHOR_SCHEMA = "id long, first int, n int, copies int, place int, key long, span long"
@@ -49,7 +49,7 @@ def anchor_rows(texts: DataFrame, read: Reader, find: Callable[[np.ndarray, np.n
                     names=["id", "first", "n", "copies", "place", "key", "span"],
                 )
 
-    return texts.select("id", "text").mapInArrow(scan, ANCHOR_SCHEMA)
+    return texts.select("id", "text").mapInArrow(thrifty(scan), ANCHOR_SCHEMA)
 
 
 def repeated_windows(packed: DataFrame, anchors: DataFrame, shared: DataFrame, read: Reader, width: int, earlier: bool) -> DataFrame:
@@ -79,10 +79,10 @@ def repeated_windows(packed: DataFrame, anchors: DataFrame, shared: DataFrame, r
     # An outer join, like the one that applies the runs: both then share one shuffle of the texts.
     asked = packed.join(of_text, "id", "left").select("id", F.when(F.col("asked").isNotNull(), F.col("packed")).alias("packed"), "n_bytes", "asked")
     compared = (
-        asked.mapInArrow(window_blocks(read, width), BLOCK_SCHEMA)
+        asked.mapInArrow(thrifty(window_blocks(read, width)), BLOCK_SCHEMA)
         .repartition("key", "block")
         .sortWithinPartitions("key", "block")
-        .mapInArrow(compare_blocks(earlier), "id long, start int, n int")
+        .mapInArrow(thrifty(compare_blocks(earlier)), "id long, start int, n int")
     )
     return marked.where("whole").select("id", F.col("first").alias("start"), (F.col("n") * F.col("copies")).alias("n")).unionByName(compared)
 

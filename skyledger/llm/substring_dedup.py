@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from skyledger.llm.anchors import Anchors, find_anchors
 from skyledger.llm.repeats import anchor_rows, gathered, repeated_windows, run_marks
 from skyledger.llm.tables import stored
-from skyledger.llm.textscan import U64, flat_ranges, mix, packed_texts, unpacked, word_bounds, word_names
+from skyledger.llm.textscan import U64, flat_ranges, mix, packed_texts, thrifty, unpacked, word_bounds, word_names
 
 # Rounds as (longest symbol that takes part, longest run that gets a name; 0: no runs), in words.
 ROUNDS = ((1, 2), (1, 0), (2, 0), (2, 0))
@@ -130,7 +130,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", widt
     carried = [f"carry_{name}" for name in carry]
     kinds = "".join(f", `{name}` {kind}" for name, kind in texts.select(*carried).dtypes)
     schema = f"id long, kept string, n_words long, n_removed long, runs array<struct<start:int,n:int>>{kinds}"
-    found = packed.join(gathered(runs), "id", "left").select("id", "packed", "n_bytes", "runs", *carried).mapInArrow(cut, schema)
+    found = packed.join(gathered(runs), "id", "left").select("id", "packed", "n_bytes", "runs", *carried).mapInArrow(thrifty(cut), schema)
     return found.select(F.col("id").alias(id), *found.columns[1:5], *(F.col(f"carry_{name}").alias(name) for name in carry))
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from skyledger.llm.anchors import Anchors, find_anchors
 from skyledger.llm.repeats import anchor_rows, gathered, repeated_windows, run_marks
 from skyledger.llm.tables import stored
-from skyledger.llm.textscan import byte_values, packed_texts, unpacked
+from skyledger.llm.textscan import byte_values, packed_texts, thrifty, unpacked
 from skyledger.session import work_dir
 
 # Bytes on either side of an anchor that name it.
@@ -131,4 +131,4 @@ def remove_repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text
                 )
 
     schema = "id long, kept binary, n_bytes long, n_removed long, removed array<struct<start:long,length:long>>"
-    return packed.join(gathered(runs), "id", "left").select("id", "packed", "n_bytes", "runs").mapInArrow(cut, schema).withColumnRenamed("id", id)
+    return packed.join(gathered(runs), "id", "left").select("id", "packed", "n_bytes", "runs").mapInArrow(thrifty(cut), schema).withColumnRenamed("id", id)

@@ -7,6 +7,8 @@ Two bases give independent names where a decision needs 128 bits.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Iterator
@@ -82,6 +84,22 @@ def byte_values(family: int) -> np.ndarray:
     return mix(np.arange(1, 257, dtype=U64) * U64(BASES[1 - family]))
 
 
+def thrifty(scan):
+    """Wraps a function over batches: when it ends, the worker gives freed memory back to the system.
+
+    Workers are reused, and what their allocators keep adds up next to the JVM's heap.
+    """
+
+    def run(batches):
+        yield from scan(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts a batch into runs of rows of at most ``most_bytes`` of text, one row at least."""
     if batch.num_rows == 0:
@@ -113,7 +131,7 @@ def packed_texts(texts: DataFrame) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            for part in slices(batch, "text", 8 << 20):
+            for part in slices(batch, "text", 2 << 20):
                 data, offsets = text_column(part.column("text"))
                 raw = data.tobytes()
                 packed = [squeeze(raw[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
@@ -123,7 +141,7 @@ def packed_texts(texts: DataFrame) -> DataFrame:
 
     others = [name for name in texts.columns if name != "text"]
     schema = ", ".join(f"`{name}` {kind}" for name, kind in texts.select(*others).dtypes)
-    return texts.mapInArrow(pack, f"{schema}, packed binary, n_bytes long")
+    return texts.mapInArrow(thrifty(pack), f"{schema}, packed binary, n_bytes long")
 
 
 def unpacked(batch: pa.RecordBatch, most_bytes: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

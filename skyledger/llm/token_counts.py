@@ -10,14 +10,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.textscan import slices
+from skyledger.llm.textscan import slices, thrifty
 from skyledger.llm.tokens import encoder, version_of
 from skyledger.operators.joins import own_shuffle
 from skyledger.session import work_dir
 
 CACHE_SCHEMA = "digest string, version string, n_tokens long"
 # Text encoded at a time; words are looked up once per distinct word of it.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text", cache: str | None = None) -> DataFrame:
@@ -51,7 +51,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-    distinct.mapInArrow(encode, CACHE_SCHEMA).write.mode("append").parquet(cache)
+    distinct.mapInArrow(thrifty(encode), CACHE_SCHEMA).write.mode("append").parquet(cache)
     counts = spark.read.schema(CACHE_SCHEMA).parquet(cache).where(F.col("version") == version)
     # Jobs that fill one cache at a time may append a digest twice; both rows hold the same count.
     counts = counts.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
