@@ -150,6 +150,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id
                 if keep_ids:
                     columns, names = [*columns, pa.array(raw, pa.binary())], [*names, "ids"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        encoder(tokenizer).forget()
 
     schema = "id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if keep_ids else "")
     texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))

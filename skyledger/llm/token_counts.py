@@ -43,6 +43,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str
                 yield pa.RecordBatch.from_arrays(
                     [part.column("digest"), versions, pa.array(counts)], names=["digest", "version", "n_tokens"]
                 )
+        encoder(tokenizer).forget()
 
     distinct = keyed.select("digest", "text").dropDuplicates(["digest"])
     try:

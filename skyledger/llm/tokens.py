@@ -18,8 +18,8 @@ import pyarrow as pa
 
 from skyledger.llm.textscan import SPACES, flat_ranges, process_cache, text_column
 
-# Words kept in a worker; at the limit the cache starts anew.
-KEPT_WORDS = 500_000
+# Words kept during a task; at the limit the cache starts anew.
+KEPT_WORDS = 200_000
 WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 PLAIN_WORD = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:|#%&$*]*)")
 
@@ -62,6 +62,11 @@ class WordEncoder:
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {"": b""}
 
+    def forget(self) -> None:
+        """Empties the cache of words."""
+        self.words = {}
+        self.pieces = {"": b""}
+
     def piece(self, text: str) -> bytes:
         """Ids of one piece that the splitting rule leaves whole."""
         known = self.pieces.get(text)
@@ -84,8 +89,7 @@ class WordEncoder:
     def parts(self, distinct: list[bytes]) -> list[bytes]:
         """Ids of each part, from the cache where it has them."""
         if len(self.words) + len(distinct) > KEPT_WORDS:
-            self.words.clear()
-            self.pieces = {"": b""}
+            self.forget()
         found = [self.words.get(part) for part in distinct]
         odd = []
         for place, ids in enumerate(found):
@@ -145,7 +149,7 @@ def part_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def encoder(path: str) -> WordEncoder:
-    """The worker's encoder for a file, with its cache of words."""
+    """The worker's encoder for a file; tasks share it, and empty its cache of words when they end."""
     kept = process_cache("encoders")
     if path not in kept:
         kept[path] = WordEncoder(path)
