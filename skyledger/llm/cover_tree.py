@@ -10,7 +10,6 @@ each task turns its rows into a tree of its own, too, and traverses both.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -19,70 +18,85 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.components import components, local_roots
 from skyledger.llm.tables import stored
-from skyledger.llm.textscan import thrifty
+from skyledger.llm.textscan import flat_ranges, thrifty
 from skyledger.llm.vectors import matrix, usable_rows
 from skyledger.operators.joins import own_shuffle
 
 FAN_OUT = 64
-LEAF = 64
+LEAF = 256
 # Room for rounding in bounds; the threshold itself is tested on the cosine in double precision.
 SLACK = 1e-6
 
 
-@dataclass
-class Node:
-    centre: np.ndarray
-    radius: float
-    points: np.ndarray  # indices of all points below
-    children: list[Node] = field(default_factory=list)
-
-
-def cover_tree(points: np.ndarray, chosen: np.ndarray, reach: float) -> Node:
-    """A tree over the ``chosen`` rows of ``points``; nodes of radius below ``reach / 2`` stay whole."""
-    centre = points[chosen].mean(axis=0)
-    distances = np.sqrt(((points[chosen] - centre) ** 2).sum(axis=1))
-    node = Node(centre, float(distances.max()) + SLACK, chosen)
-    if len(chosen) <= LEAF or node.radius <= reach / 2:
-        return node
-    # Furthest points become centres until all points are within half the radius of one.
-    below = points[chosen]
-    nearest = np.full(len(chosen), np.inf)
-    owner = np.zeros(len(chosen), dtype=np.int64)
-    pick = int(np.argmax(distances))
-    for number in range(min(FAN_OUT, len(chosen))):
-        away = np.sqrt(np.maximum(((below - below[pick]) ** 2).sum(axis=1), 0))
+class CoverTree:
+    """Nodes in breadth-first order, as arrays: centre, radius, children and points of each."""
+
+    def __init__(self, points: np.ndarray, reach: float):
+        centres, radii, groups, children = [], [], [np.arange(len(points))], []
+        at = 0
+        while at < len(groups):
+            group = groups[at]
+            centre = points[group].mean(axis=0)
+            radius = float(np.sqrt(((points[group] - centre) ** 2).sum(axis=1)).max()) + SLACK
+            parts = [] if len(group) <= LEAF or radius <= reach / 2 else split(points[group], radius)
+            children.append((len(groups), len(parts)) if len(parts) > 1 else (0, 0))
+            if len(parts) > 1:
+                groups += [group[part] for part in parts]
+            centres.append(centre)
+            radii.append(radius)
+            at += 1
+        self.centres, self.radii, self.groups = np.array(centres), np.array(radii), groups
+        self.first, self.count = np.array(children, dtype=np.int64).T
+
+    def opened(self, nodes: np.ndarray) -> np.ndarray:
+        """Children of the nodes; leaves stay."""
+        inner = self.count[nodes] > 0
+        return np.concatenate((nodes[~inner], flat_ranges(self.first[nodes[inner]], self.count[nodes[inner]])))
+
+
+def split(points: np.ndarray, radius: float) -> list[np.ndarray]:
+    """Groups of unit vectors: furthest points become centres until all are within half the radius of
+    one, or the fan-out is used up."""
+    nearest = np.full(len(points), np.inf)
+    owner = np.zeros(len(points), dtype=np.int64)
+    pick = 0
+    for number in range(min(FAN_OUT, len(points))):
+        away = 2 - 2 * (points @ points[pick])
         closer = away < nearest
         owner[closer] = number
         nearest = np.minimum(nearest, away)
         pick = int(np.argmax(nearest))
-        if nearest[pick] <= node.radius / 2:
+        if nearest[pick] <= radius**2 / 4:
             break
-    groups = [chosen[owner == number] for number in range(owner.max() + 1)]
-    groups = [group for group in groups if len(group)]
-    if len(groups) > 1:
-        node.children = [cover_tree(points, group, reach) for group in groups]
-    return node
+    order = np.argsort(owner, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(owner[order])) + 1)
 
 
-def meeting_leaves(left: Node, right: Node, reach: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def meeting_leaves(left: CoverTree, right: CoverTree, reach: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index groups of both trees that may hold pairs within ``reach``: a left leaf and what meets it."""
-    stack = [(left, [right])]
+
+    def near(node: int, others: np.ndarray) -> np.ndarray:
+        away = np.sqrt(((right.centres[others] - left.centres[node]) ** 2).sum(axis=1))
+        return others[away <= right.radii[others] + left.radii[node] + reach]
+
+    stack = [(0, np.array([0]))]
     while stack:
         node, others = stack.pop()
-        near = [other for other in others if np.sqrt(((node.centre - other.centre) ** 2).sum()) <= node.radius + other.radius + reach]
-        if not near:
+        others = near(node, others)
+        if not len(others):
+            continue
+        if left.count[node]:
+            # Both sides open one level.
+            others = near(node, right.opened(others))
+            stack += [(child, others) for child in range(left.first[node], left.first[node] + left.count[node])]
             continue
-        # The wider side opens first.
-        widest = max(near, key=lambda other: other.radius)
-        if widest.children and (widest.radius >= node.radius or not node.children):
-            stack.append((node, [child for other in near for child in (other.children or [other])]))
-        elif node.children:
-            stack += [(child, near) for child in node.children]
-        else:
-            yield node.points, np.concatenate([other.points for other in near])
+        while (right.count[others] > 0).any():
+            others = near(node, right.opened(others))
+        if len(others):
+            yield left.groups[node], np.concatenate([right.groups[other] for other in others])
 
 
-def near_pairs(left: np.ndarray, right: np.ndarray, left_tree: Node, right_tree: Node, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def near_pairs(left: np.ndarray, right: np.ndarray, left_tree: CoverTree, right_tree: CoverTree, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows, as indices into both sides, with at least the given cosine."""
     reach = float(np.sqrt(max(0.0, 2 - 2 * cosine))) + SLACK
     left32, right32 = left.astype(np.float32), right.astype(np.float32)
@@ -123,7 +137,7 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.95, id: str = "vec_id", v
         if not len(residents):
             continue
         reach = float(np.sqrt(2 - 2 * cosine)) + SLACK
-        sent = spark.sparkContext.broadcast((chosen.column("id").to_numpy(), residents, cover_tree(residents, np.arange(len(residents)), reach)))
+        sent = spark.sparkContext.broadcast((chosen.column("id").to_numpy(), residents, CoverTree(residents, reach)))
         found.append(stored(sound.mapInArrow(thrifty(links_with(sent, length, cosine)), "a long, b long, n long"), "near-pairs"))
         sent.destroy()
     out = rows.select(F.col(id).alias("id"))
@@ -156,7 +170,7 @@ def links_with(sent, length: int, cosine: float):
                 continue
             ids = batch.column("id").to_numpy()
             vectors = unit(matrix(batch.column("vector"), length))
-            own = cover_tree(vectors, np.arange(len(vectors)), reach)
+            own = CoverTree(vectors, reach)
             for x, y in near_pairs(vectors, residents, own, tree, cosine):
                 a, b = ids[x], resident_ids[y]
                 other = a != b

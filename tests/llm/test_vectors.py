@@ -7,7 +7,7 @@ import math
 import numpy as np
 import pytest
 
-from skyledger.llm.cover_tree import cover_tree, near_duplicates, near_pairs, unit
+from skyledger.llm.cover_tree import CoverTree, near_duplicates, near_pairs, unit
 from skyledger.llm.nearest import nearest
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
@@ -50,10 +50,10 @@ def test_links_match_brute_force(spark, seed, number, block):
 
 def test_dual_traversal_finds_all_pairs():
     for seed in range(6):
-        points = unit(vectors(seed, 700, 5).astype(float))
-        left, right = points[:300], points[300:]
+        points = unit(vectors(seed, 2400, 5).astype(float))
+        left, right = points[:900], points[900:]
         reach = math.sqrt(2 - 2 * 0.95) + 1e-6
-        trees = [cover_tree(one, np.arange(len(one)), reach) for one in (left, right)]
+        trees = [CoverTree(one, reach) for one in (left, right)]
         found = [pair for x, y in near_pairs(left, right, *trees, 0.95) for pair in zip(x.tolist(), y.tolist())]
         assert len(found) == len(set(found))
         assert set(found) == set(zip(*(at.tolist() for at in np.nonzero(np.einsum("ik,jk->ij", left, right) >= 0.95))))
