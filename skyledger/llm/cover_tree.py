@@ -3,8 +3,9 @@
 Unit vectors with a cosine of at least c lie within sqrt(2 - 2c) of each other. A cover tree splits
 its points into nodes around centres, level by level, until a node's radius is halved or its fan-out
 is used up. Two nodes are dropped together when their centres are further apart than both radii and
-the threshold allow. Every block of a bounded number of vectors becomes a tree and goes to all tasks;
-each task turns its rows into a tree of its own, too, and traverses both.
+the threshold allow. Equal vectors become one point that counts as often as it occurs. Every block of
+a bounded number of points becomes a tree and goes to all tasks; each task turns its rows into a tree
+of its own, too, and traverses both. Leaves that meet are tested tile by tile.
 """
 
 from __future__ import annotations
@@ -24,6 +25,11 @@ from skyledger.operators.joins import own_shuffle
 
 FAN_OUT = 64
 LEAF = 256
+# Rows of either side that are tested at once, and pairs of them in double precision.
+TILE = 512, 2048
+PAIRS = 65_536
+# Links that a task holds before it replaces them by the least node each one reaches.
+HELD = 1 << 20
 # Room for rounding in bounds; the threshold itself is tested on the cosine in double precision.
 SLACK = 1e-6
 
@@ -99,12 +105,23 @@ def meeting_leaves(left: CoverTree, right: CoverTree, reach: float) -> Iterator[
 def near_pairs(left: np.ndarray, right: np.ndarray, left_tree: CoverTree, right_tree: CoverTree, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows, as indices into both sides, with at least the given cosine."""
     reach = float(np.sqrt(max(0.0, 2 - 2 * cosine))) + SLACK
+    # What single precision may be off by.
+    doubt = 1e-4 + left.shape[1] * 2.0**-23
     left32, right32 = left.astype(np.float32), right.astype(np.float32)
     for a, b in meeting_leaves(left_tree, right_tree, reach):
-        x, y = np.nonzero(left32[a] @ right32[b].T >= cosine - 1e-4)
-        x, y = a[x], b[y]
-        exact = np.einsum("ij,ij->i", left[x], right[y]) >= cosine
-        yield x[exact], y[exact]
+        for top in range(0, len(a), TILE[0]):
+            rows = a[top : top + TILE[0]]
+            for first in range(0, len(b), TILE[1]):
+                columns = b[first : first + TILE[1]]
+                cosines = left32[rows] @ right32[columns].T
+                x, y = np.nonzero(cosines >= cosine - doubt)
+                exact = np.ones(len(x), dtype=bool)
+                unsure = np.flatnonzero(cosines[x, y] < cosine + doubt)
+                x, y = rows[x], columns[y]
+                for at in range(0, len(unsure), PAIRS):
+                    some = unsure[at : at + PAIRS]
+                    exact[some] = np.einsum("ij,ij->i", left[x[some]], right[y[some]]) >= cosine
+                yield x[exact], y[exact]
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -120,25 +137,25 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.95, id: str = "vec_id", v
     ``kept`` tells whether that is the row's own. Vectors that are null, empty, zero, of an unusual
     length, or that hold null or non-finite components link with nothing, nor does a null id, whose
     component is null. Ids are unique; repeated ids count as links only between different ids, so
-    repeated rows of one id get equal results. Vectors visit all blocks of at most ``block``, one
-    pass after another; a pass sends one block to all tasks and moves nothing else.
+    repeated rows of one id get equal results. Distinct vectors visit all blocks of about ``block``,
+    one pass after another; a pass sends one block to all tasks and moves nothing else.
     """
     if not 0 < cosine <= 1:
         raise ValueError("the cosine lies between 0 and 1")
     spark = rows.sparkSession
     sound, length = usable_rows(rows, id, vector)
-    sound = stored(sound.dropDuplicates(["id"]), "vectors")
-    total = sound.count()
+    points, homes = distinct_points(sound.dropDuplicates(["id"]))
+    total = points.count()
     passes = -(-total // block)
     found = []
     for number in range(passes):
-        chosen = sound.where(F.pmod(F.xxhash64("id"), F.lit(passes)) == number).toArrow()
+        chosen = points.where(F.pmod("name", F.lit(passes)) == number).toArrow()
         residents = unit(matrix(chosen.column("vector").combine_chunks(), length)) if chosen.num_rows else np.zeros((0, length))
         if not len(residents):
             continue
         reach = float(np.sqrt(2 - 2 * cosine)) + SLACK
-        sent = spark.sparkContext.broadcast((chosen.column("id").to_numpy(), residents, CoverTree(residents, reach)))
-        found.append(stored(sound.mapInArrow(thrifty(links_with(sent, length, cosine)), "a long, b long, n long"), "near-pairs"))
+        sent = spark.sparkContext.broadcast((chosen.column("node").to_numpy(), chosen.column("times").to_numpy(), residents, CoverTree(residents, reach)))
+        found.append(stored(points.mapInArrow(thrifty(links_with(sent, length, cosine)), "a long, b long, n long"), "near-pairs"))
         sent.destroy()
     out = rows.select(F.col(id).alias("id"))
     if not found:
@@ -146,51 +163,77 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.95, id: str = "vec_id", v
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
-    counts = links.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n_links"))
-    groups = components(links.select("a", "b"))
-    linked = own_shuffle(counts.join(groups, "id"), ["id"])
-    component = F.coalesce("component_id", "id")
-    return out.join(linked, "id", "left").select(
+    counts = links.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
+    groups = components(links.select("a", "b")).withColumnRenamed("id", "node")
+    linked = own_shuffle(counts.join(groups, "node"), ["node"])
+    component = F.coalesce("component_id", "node", "id")
+    return out.join(own_shuffle(homes, ["id"]), "id", "left").join(linked, "node", "left").select(
         F.col("id").alias(id),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        (F.coalesce("n", F.lit(0)) + F.coalesce(F.col("times") - 1, F.lit(0))).cast("long").alias("n_links"),
         component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"),
     )
 
 
+def distinct_points(sound: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The distinct vectors of (id, vector): as points (node, times, name, vector), and where each id
+    lies: (id, node, times). A node is the least id of a vector, ``times`` the number of its ids.
+
+    Equal vectors meet under two names of 64 bits; a frequent one is reduced before it travels.
+    """
+    named = sound.select("id", "vector", F.xxhash64("vector").alias("name"), F.xxhash64(F.lit(1), "vector").alias("check"))
+    named = stored(named, "vectors")
+    counted = named.groupBy("name", "check").agg(F.min("id").alias("node"), F.count("*").alias("times"))
+    vectors = named.groupBy("name", "check").agg(F.first("vector").alias("vector"))
+    points = stored(counted.join(vectors, ["name", "check"]).select("node", "times", "name", "check", "vector"), "points")
+    nodes = own_shuffle(points.select("name", "check", "node", "times"), ["name", "check"])
+    return points, named.select("id", "name", "check").join(nodes, ["name", "check"]).select("id", "node", "times")
+
+
 def links_with(sent, length: int, cosine: float):
-    """For each row that is linked into the block: (row, some resident, links); and links that join
-    residents which one row of the task is linked to, with a count of 0."""
+    """For each point that is linked into the block: (point, itself, links); and links that join the
+    points which meet in the task, with a count of 0."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        resident_ids, residents, tree = sent.value
+        resident_ids, times, residents, tree = sent.value
         reach = float(np.sqrt(2 - 2 * cosine)) + SLACK
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = batch.column("id").to_numpy()
+            ids = batch.column("node").to_numpy()
             vectors = unit(matrix(batch.column("vector"), length))
             own = CoverTree(vectors, reach)
+            counts = np.zeros(len(ids), dtype=np.int64)
+            held, size = [], 0
             for x, y in near_pairs(vectors, residents, own, tree, cosine):
-                a, b = ids[x], resident_ids[y]
-                other = a != b
-                a, b = a[other], b[other]
-                if not len(a):
+                other = ids[x] != resident_ids[y]
+                x, y = x[other], y[other]
+                if not len(x):
                     continue
-                order = np.argsort(a, kind="stable")
-                a, b = a[order], b[order]
-                heads = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1])))
-                counts = np.diff(np.append(heads, len(a)))
-                least = np.minimum.reduceat(b, heads)
-                nodes, roots = local_roots(b, np.repeat(least, counts))
-                joined = nodes != roots
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate((a[heads], nodes[joined]))),
-                        pa.array(np.concatenate((least, roots[joined]))),
-                        pa.array(np.concatenate((counts, np.zeros(int(joined.sum()), dtype=np.int64)))),
-                    ],
-                    names=["a", "b", "n"],
-                )
+                np.add.at(counts, x, times[y])
+                held.append(joined(ids[x], resident_ids[y]))
+                size += len(held[-1][0])
+                if size > HELD:
+                    held = [joined(*map(np.concatenate, zip(*held)))]
+                    size = 0
+            if not held:
+                continue
+            nodes, roots = joined(*map(np.concatenate, zip(*held)))
+            linked = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate((ids[linked], nodes))),
+                    pa.array(np.concatenate((ids[linked], roots))),
+                    pa.array(np.concatenate((counts[linked], np.zeros(len(nodes), dtype=np.int64)))),
+                ],
+                names=["a", "b", "n"],
+            )
 
     return scan
+
+
+def joined(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join what the links a-b do, one for each node but the least ones."""
+    nodes, roots = local_roots(a, b)
+    hung = nodes != roots
+    return nodes[hung], roots[hung]

@@ -7,7 +7,7 @@ import math
 import numpy as np
 import pytest
 
-from skyledger.llm.cover_tree import CoverTree, near_duplicates, near_pairs, unit
+from skyledger.llm.cover_tree import TILE, CoverTree, distinct_points, near_duplicates, near_pairs, unit
 from skyledger.llm.nearest import nearest
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
@@ -98,3 +98,22 @@ def test_repeated_rows_of_one_id(spark):
     rows = [(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (2, [1.0, 0.01], 0)]
     found = near_duplicates(spark.createDataFrame(rows, SCHEMA))
     assert sorted(map(tuple, found.collect())) == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False)]
+
+
+def test_close_vectors_are_tested_in_tiles():
+    """A group of close vectors cannot be split; its pairs come a bounded number at a time."""
+    points = unit(np.random.default_rng(4).normal(size=(3000, 4)) * 1e-3 + 1)
+    tree = CoverTree(points, math.sqrt(2 - 2 * 0.95) + 1e-6)
+    sizes = [len(x) for x, _ in near_pairs(points, points, tree, tree, 0.95)]
+    assert sum(sizes) == 3000**2
+    assert max(sizes) <= TILE[0] * TILE[1]
+
+
+def test_equal_vectors_are_one_point(spark):
+    rows = [(id, [0.6, 0.8], 0) for id in range(3000)] + [(5000 + id, [0.6, 0.8 + 1e-4 * (id + 1)], 0) for id in range(20)]
+    df = spark.createDataFrame([*rows, (9000, [-1.0, 0.0], 0)], SCHEMA).repartition(4)
+    points, homes = distinct_points(df.selectExpr("vec_id AS id", "embedding AS vector"))
+    assert points.count() == 22 and homes.count() == 3021
+    assert sorted(row.times for row in points.collect())[-2:] == [1, 3000]
+    found = {tuple(row)[1:3] for row in near_duplicates(df).collect()}
+    assert found == {(3019, 0), (0, 9000)}
