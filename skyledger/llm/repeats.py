@@ -3,7 +3,8 @@
 An anchor row stands for the windows that share an anchor (see ``anchors``). Where a whole span is
 repeated all its windows are; only distinct spans around one anchor name that differ from each other
 are compared window by window. Equal windows meet under (name, place of the window before the
-anchor), so that a frequent name is spread by place.
+anchor), so that a frequent name is spread by place. Tasks compare whole groups of rows of one anchor
+name; where those may be too many, Spark groups the single windows.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from skyledger.operators.joins import own_shuffle
 ANCHOR_SCHEMA = "id long, first int, n int, copies int, place int, key long, span long"
 # Windows that travel in one row.
 BLOCK = 32
+# Anchor rows of one name up to which tasks hold the windows around it.
+MANY = 10_000
 
 # Elements of the texts of a slice: their values under both families of names, and text offsets.
 Reader = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -52,17 +55,19 @@ def anchor_rows(texts: DataFrame, read: Reader, find: Callable[[np.ndarray, np.n
     return texts.select("id", "text").mapInArrow(thrifty(scan), ANCHOR_SCHEMA)
 
 
-def repeated_windows(packed: DataFrame, anchors: DataFrame, shared: DataFrame, read: Reader, width: int, earlier: bool) -> DataFrame:
+def repeated_windows(
+    packed: DataFrame, anchors: DataFrame, shared: DataFrame, frequent: DataFrame, read: Reader, width: int, earlier: bool
+) -> DataFrame:
     """Runs of repeated windows as (id, start, n).
 
     With ``earlier`` a window counts that also starts in a text of smaller id; else one that also
     starts anywhere else. ``packed`` are the ``packed_texts``; ``shared`` holds the anchor names (key)
-    that may matter, once each.
+    that may matter, once each; ``frequent`` those that have more than ``MANY`` rows, written already.
     """
     anchors = anchors.join(own_shuffle(shared, ["key"]), "key", "left_semi")
     spans = anchors.groupBy("key", "span").agg(F.sum("copies").alias("times"), F.min("id").alias("least"))
     variants = spans.groupBy("key").agg((F.count("*") > 1).alias("varied"))
-    notable = spans.join(variants, "key").where(F.col("varied") | (F.col("times") > 1))
+    notable = spans.join(own_shuffle(variants, ["key"]), "key").where(F.col("varied") | (F.col("times") > 1))
     whole = F.col("id") > F.col("least") if earlier else F.col("times") > 1
     # One text speaks for a span where it is compared with its variants.
     speaks = F.col("varied") & (F.col("id") == F.col("least"))
@@ -73,20 +78,60 @@ def repeated_windows(packed: DataFrame, anchors: DataFrame, shared: DataFrame, r
         .where("whole OR speaks")
         .select("id", "first", "n", "copies", "place", "key", "span", "whole", "speaks")
     )
-    of_text = marked.where("speaks").groupBy("id").agg(
-        F.sort_array(F.collect_list(F.struct("first", "n", "copies", "place", "key", "span", "whole"))).alias("asked")
-    )
-    # An outer join, like the one that applies the runs: both then share one shuffle of the texts.
-    asked = packed.join(of_text, "id", "left").select("id", F.when(F.col("asked").isNotNull(), F.col("packed")).alias("packed"), "n_bytes", "asked")
+    speaking = marked.where("speaks")
+    some = not frequent.isEmpty()
+    few = speaking.join(own_shuffle(frequent, ["key"]), "key", "left_anti") if some else speaking
     compared = (
-        asked.mapInArrow(thrifty(window_blocks(read, width)), BLOCK_SCHEMA)
+        blocks_asked(packed, few, read, width)
         .repartition("key", "block")
         .sortWithinPartitions("key", "block")
         .mapInArrow(thrifty(compare_blocks(earlier)), "id long, start int, n int")
     )
+    if some:
+        many = speaking.join(own_shuffle(frequent, ["key"]), "key", "left_semi")
+        compared = compared.unionByName(grouped_windows(blocks_asked(packed, many, read, width), earlier))
     return marked.where("whole").select("id", F.col("first").alias("start"), (F.col("n") * F.col("copies")).alias("n")).unionByName(compared)
 
 
+def blocks_asked(packed: DataFrame, speaking: DataFrame, read: Reader, width: int) -> DataFrame:
+    """The windows of the anchor rows ``speaking``, see ``window_blocks``."""
+    of_text = speaking.groupBy("id").agg(
+        F.sort_array(F.collect_list(F.struct("first", "n", "copies", "place", "key", "span", "whole"))).alias("asked")
+    )
+    # An outer join, like the one that applies the runs: both then share one shuffle of the texts.
+    asked = packed.join(of_text, "id", "left").select("id", F.when(F.col("asked").isNotNull(), F.col("packed")).alias("packed"), "n_bytes", "asked")
+    return asked.mapInArrow(thrifty(window_blocks(read, width)), BLOCK_SCHEMA)
+
+
+def grouped_windows(blocks: DataFrame, earlier: bool) -> DataFrame:
+    """Equal windows among rows of any number: what ``compare_blocks`` finds, one window a row.
+
+    A frequent window is reduced before it travels, and the join that hands out what became of it
+    can be split.
+    """
+    same = ["key", "place", "name"]
+    step = F.explode(F.sequence(F.lit(0), (F.length("names") / 8).cast("int") - 1))
+    windows = blocks.withColumn("step", step).select(
+        "key",
+        (F.col("place") - F.col("step")).alias("place"),
+        F.substring("names", F.col("step") * 8 + 1, F.lit(8)).alias("name"),
+        "span",
+        "id",
+        (F.col("start") + F.col("step")).alias("start"),
+        "period",
+        "copies",
+        "settled",
+    )
+    value = "id" if earlier else "span"
+    met = windows.groupBy(*same).agg(F.min(value).alias("low"), F.max(value).alias("high")).where("low < high").select(*same, "low")
+    hits = windows.where("NOT settled").join(own_shuffle(met, same), same)
+    hits = hits.where("id > low") if earlier else hits
+    # What holds for a span holds for the copies that follow it.
+    copy = F.explode(F.sequence(F.lit(0), F.col("copies") - 1))
+    starts = hits.select("id", "start", "period", copy.alias("copy"))
+    return starts.select("id", (F.col("start") + F.col("copy") * F.col("period")).alias("start"), F.lit(1).alias("n"))
+
+
 BLOCK_SCHEMA = "key long, block int, place int, span long, id long, start int, period int, copies int, settled boolean, names binary"
 
 

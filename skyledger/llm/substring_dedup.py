@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.llm import repeats
 from skyledger.llm.anchors import Anchors, find_anchors
 from skyledger.llm.repeats import anchor_rows, gathered, repeated_windows, run_marks
 from skyledger.llm.tables import stored
@@ -103,9 +104,11 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", widt
         return find_anchors(values, offsets, width, MARGIN, symbol_starts(values, offsets))
 
     anchors = stored(anchor_rows(texts.where("id IS NOT NULL"), read_words, find), "recompression")
-    ids = anchors.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("last"))
+    ids = anchors.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("last"), F.count("*").alias("rows"))
+    shared = stored(ids.where("least < last").select("key", "rows"), "shared")
+    frequent = shared.where(F.col("rows") > repeats.MANY).select("key")
     packed = packed_texts(texts)
-    runs = repeated_windows(packed, anchors, ids.where("least < last").select("key"), read_words, width, earlier=True)
+    runs = repeated_windows(packed, anchors, shared.select("key"), frequent, read_words, width, earlier=True)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.llm import repeats
 from skyledger.llm.anchors import Anchors, find_anchors
 from skyledger.llm.repeats import anchor_rows, gathered, repeated_windows, run_marks
 from skyledger.llm.tables import stored
@@ -67,6 +68,12 @@ class SuffixFamily:
         """Names of suffixes (key) that occur more than once in all batches, once each."""
         return reduce(DataFrame.unionByName, self.matches).distinct()
 
+    def frequent(self, most: int) -> DataFrame:
+        """Names of all suffixes (key) that occur more than ``most`` times, and some rarer ones, once each."""
+        share = most // len(self.levels)
+        found = [level.where(F.col("times") > share).select("key") for level in self.levels.values()]
+        return reduce(DataFrame.unionByName, found).distinct()
+
 
 def read_bytes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return byte_values(0)[data], offsets
@@ -95,7 +102,8 @@ def remove_repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text
     for number in range(batches):
         family.add(anchors.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == number))
     packed = packed_texts(texts)
-    runs = repeated_windows(packed, anchors, family.matched(), read_bytes, width, earlier=False)
+    frequent = stored(family.frequent(repeats.MANY), "frequent")
+    runs = repeated_windows(packed, anchors, family.matched(), frequent, read_bytes, width, earlier=False)
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from skyledger.llm import repeats
 from skyledger.llm.substring_dedup import LONGEST, MARGIN, remove_repeats, symbol_starts
 from skyledger.llm.suffix_dedup import MARGIN as BYTE_MARGIN
 from skyledger.llm.suffix_dedup import remove_repeated_bytes
@@ -129,3 +130,44 @@ def test_symbols_depend_on_their_surroundings_only():
             marks.append(starts[len(left) : len(left) + 120][MARGIN : 120 - MARGIN])
             assert np.diff(np.flatnonzero(starts)).max() <= LONGEST
         assert (marks[0] == marks[1]).all()
+
+
+@pytest.mark.parametrize("width", [50, 400])
+def test_no_task_holds_all_variants_of_a_passage(spark, monkeypatch, width):
+    """A passage that many texts share in contexts of their own, and a bound below their number."""
+    draw = np.random.default_rng(7)
+    passage = " ".join(f"p{at}" for at in range(130))
+    own = [[" ".join(f"w{word}" for word in draw.integers(0, 10**6, 45)) for _ in range(2)] for _ in range(90)]
+    rows = [(3 * at, f"{left} {passage} {right}", None, None, None) for at, (left, right) in enumerate(own)]
+    rows += [(500, "two step " * 200, None, None, None), (501, "x " + "two step " * 150, None, None, None)]
+    compare_blocks = repeats.compare_blocks
+
+    def bounded(earlier):
+        scan = compare_blocks(earlier)
+
+        def watch(batches):
+            sizes = {}
+            for batch in batches:
+                for group in zip(batch.column("key").to_pylist(), batch.column("block").to_pylist()):
+                    sizes[group] = sizes.get(group, 0) + 1
+                    assert sizes[group] <= 40
+                yield from scan(iter([batch]))
+
+        return watch
+
+    monkeypatch.setattr(repeats, "MANY", 40, raising=False)
+    monkeypatch.setattr(repeats, "compare_blocks", bounded)
+    if width == 50:
+        assert found_words(frame(spark, rows), width) == brute_words(rows, width)
+    else:
+        assert found_bytes(frame(spark, rows), width) == brute_bytes(rows, width)
+
+
+@pytest.mark.parametrize("width", [50, 400])
+def test_windows_grouped_by_spark_match_brute_force(spark, monkeypatch, width):
+    rows = [row for row in documents(width) if len(row[1] or "") < 20_000]
+    monkeypatch.setattr(repeats, "MANY", 0)
+    if width == 50:
+        assert found_words(frame(spark, rows, extra=True), width) == brute_words(rows, width)
+    else:
+        assert found_bytes(frame(spark, rows, extra=True), width) == brute_bytes(rows, width)
