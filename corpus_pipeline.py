@@ -45,12 +45,15 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts passages of 50 words that a document of smaller id has, too; words stay one space apart.
+    """Cuts passages of 50 words that a document of smaller id has, too; other white space stays.
 
-    A document all of whose words are cut goes.
+    A document with nothing to cut stays as it is, but a null text becomes empty; one all of whose
+    words are cut goes.
     """
-    cut = remove_repeats(docs, width=50, carry=["lang", "source"]).where("n_removed < n_words OR n_words = 0")
-    return cut.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars"))
+    rows = docs.select(*COLUMNS)
+    cut = remove_repeats(rows, width=50, carry=["lang", "source", "n_chars"], spaces=True).where("n_removed < n_words OR n_words = 0")
+    size = F.when((F.col("n_removed") > 0) | F.col("n_chars").isNull(), F.length("kept").cast("long")).otherwise(F.col("n_chars"))
+    return cut.select("doc_id", F.col("kept").alias("text"), "lang", "source", size.alias("n_chars"))
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -84,10 +84,11 @@ def read_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return word_names(data, starts, ends), words
 
 
-def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 50, carry: Sequence[str] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 50, carry: Sequence[str] = (), spaces: bool = False) -> DataFrame:
     """Removes words covered by a window of ``width`` words that also starts in a text of smaller id.
 
-    Returns per row of ``docs``: the id, ``kept`` (the words that stay, joined by one space),
+    Returns per row of ``docs``: the id, ``kept`` (the words that stay, joined by one space; with
+    ``spaces`` the text without the words that go and the white space between each and the next),
     ``n_words``, ``n_removed`` and ``runs`` (repeated windows as first window and number, null for
     none). Windows are judged on the input. Null and blank texts have no words and keep "". Texts of
     fewer than ``width`` words keep all. Repeated rows of one id get the same result each; if an id has
@@ -117,7 +118,10 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", widt
                 gone = run_marks(part.column("runs"), words, width)
                 stay = np.flatnonzero(~gone)
                 removed = np.concatenate(([0], np.cumsum(gone)))[words]
-                kept, kept_offsets = joined_words(data, starts[stay], ends[stay], np.searchsorted(stay, words))
+                if spaces:
+                    kept, kept_offsets = without_words(data, offsets, starts, ends, words, gone)
+                else:
+                    kept, kept_offsets = joined_words(data, starts[stay], ends[stay], np.searchsorted(stay, words))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("id"),
@@ -151,3 +155,16 @@ def joined_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, words:
     lengths = after[words[1:]] - after[words[:-1]]
     lengths[filled] -= 1
     return out[keep], np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+
+
+def without_words(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray, words: np.ndarray, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text without the words marked ``gone`` and the white space between each and the next word."""
+    stops = ends.copy()
+    stops[:-1] = starts[1:]
+    last = words[1:][np.diff(words) > 0] - 1
+    stops[last] = ends[last]
+    depth = np.zeros(len(data) + 1, dtype=np.int8)
+    depth[starts[gone]] += 1
+    depth[stops[gone]] -= 1
+    stay = np.cumsum(depth[:-1], dtype=np.int8) == 0
+    return data[stay], np.concatenate(([0], np.cumsum(stay)))[offsets].astype(np.int32)

@@ -86,3 +86,12 @@ def test_empty_documents_run_through(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stored(stage(spark, docs, SF_DIR), "stage")
     assert docs.count() == 0
+
+
+def test_documents_with_nothing_to_cut_stay_as_they_are(spark):
+    passage = " \n".join(f"p{at}" for at in range(50))
+    rows = [(1, f" a\t\tb\n{passage}  c ", "en", "s", 7), (2, f" d\t{passage}\r\n e \n", "en", "s", 7), (3, passage, "en", "s", 7),
+            (4, " x \n\n y\t", "en", "s", 7), (5, "", "en", "s", 0), (6, " \n", "en", "s", 2), (7, f"f\n{passage}", "en", "s", 7)]
+    cut = corpus_pipeline.cut_repeated_passages(spark, frame(spark, rows, extra=True), SF_DIR).collect()
+    kept = [rows[0], (2, " d\te \n", "en", "s", 6), *rows[3:6], (7, "f\n", "en", "s", 2)]
+    assert sorted(map(tuple, cut)) == kept
