@@ -31,17 +31,22 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies: five words, similarity of 0.8 or more.
 
-    It is the one of least id; of repeated rows of that id, the first in order of the other columns. Rows without an id stay.
+    It is the one of least id; of rows of that id with one text, the first in order of the other
+    columns. Where ids are repeated, each of their texts is a document: of near copies of the least
+    id, the one of least hash stays. Rows without an id stay.
     """
     found = stored(jaccard_components(docs, n=5, percent=80), "groups").where("doc_id IS NOT NULL")
-    dropped = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(own_shuffle(dropped, ["doc_id"]), "doc_id", "left_anti").select(*COLUMNS)
     repeated = stored(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
     if repeated.isEmpty():
-        return kept
-    alone = kept.join(own_shuffle(repeated, ["doc_id"]), "doc_id", "left_anti").select(*COLUMNS)
-    alike = kept.join(own_shuffle(repeated, ["doc_id"]), "doc_id", "left_semi").groupBy("doc_id")
-    return alone.unionByName(alike.agg(F.min(F.struct(*COLUMNS[1:])).alias("row")).select("doc_id", "row.*"))
+        dropped = found.where("doc_id <> component_id").select("doc_id")
+        return docs.select(*COLUMNS).join(own_shuffle(dropped, ["doc_id"]), "doc_id", "left_anti").select(*COLUMNS)
+    named = docs.where("doc_id IS NOT NULL").select(*COLUMNS, F.xxhash64("doc_id", F.col("text").isNull(), "text").alias("name"))
+    found = stored(jaccard_components(named, n=5, percent=80, id="name"), "groups").select("name", "component_id").distinct()
+    ids = named.select("name", "doc_id").distinct()
+    least = ids.join(found, "name").groupBy("component_id").agg(F.min(F.struct("doc_id", "name")).alias("least"))
+    stay = own_shuffle(least.select("least.name"), ["name"])
+    one = named.join(stay, "name", "left_semi").groupBy("name").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
+    return one.unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

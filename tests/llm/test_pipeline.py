@@ -95,3 +95,11 @@ def test_documents_with_nothing_to_cut_stay_as_they_are(spark):
     cut = corpus_pipeline.cut_repeated_passages(spark, frame(spark, rows, extra=True), SF_DIR).collect()
     kept = [rows[0], (2, " d\te \n", "en", "s", 6), *rows[3:6], (7, "f\n", "en", "s", 2)]
     assert sorted(map(tuple, cut)) == kept
+
+
+def test_repeated_ids_keep_their_dissimilar_texts(spark):
+    one, other, third = ("a b c d e f", "g h i j k l", "m n o p q r")
+    rows = [(1, one, "en", "s", 11), (1, one, "en", "s", 11), (1, other, "en", "t", 11), (2, other, "en", "s", 11), (2, third, "en", "s", 11),
+            (3, one, "en", "s", 11), (4, None, "en", "s", 0), (4, "", "en", "s", 0), (None, one, "en", "s", 11)]
+    kept = corpus_pipeline.keep_one_of_each_group(spark, frame(spark, rows, extra=True), SF_DIR).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([rows[0], rows[2], rows[4], rows[6], rows[7], rows[8]], key=str)
