@@ -136,15 +136,15 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.95, id: str = "vec_id", v
     ``n_links`` counts the other vectors linked directly, ``component_id`` is the least id reachable,
     ``kept`` tells whether that is the row's own. Vectors that are null, empty, zero, of an unusual
     length, or that hold null or non-finite components link with nothing, nor does a null id, whose
-    component is null. Ids are unique; repeated ids count as links only between different ids, so
-    repeated rows of one id get equal results. Distinct vectors visit all blocks of about ``block``,
+    component is null. Ids are unique; if one has several vectors, their links are its own, and
+    each of them counts in the links of others. Vectors of one id do not link, and equal rows count once. Distinct vectors visit all blocks of about ``block``,
     one pass after another; a pass sends one block to all tasks and moves nothing else.
     """
     if not 0 < cosine <= 1:
         raise ValueError("the cosine lies between 0 and 1")
     spark = rows.sparkSession
     sound, length = usable_rows(rows, id, vector)
-    points, homes = distinct_points(sound.dropDuplicates(["id"]))
+    points, homes = distinct_points(sound)
     total = points.count()
     passes = -(-total // block)
     found = []
@@ -176,18 +176,28 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.95, id: str = "vec_id", v
 
 
 def distinct_points(sound: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The distinct vectors of (id, vector): as points (node, times, name, vector), and where each id
-    lies: (id, node, times). A node is the least id of a vector, ``times`` the number of its ids.
+    """The distinct vectors of (id, vector): as points (node, times, name, check, vector), and where
+    each id lies: (id, node, times). A node is the least id of a vector, ``times`` the number of its
+    ids. Vectors of an id that has several are points of their own, with the id as their node.
 
     Equal vectors meet under two names of 64 bits; a frequent one is reduced before it travels.
     """
     named = sound.select("id", "vector", F.xxhash64("vector").alias("name"), F.xxhash64(F.lit(1), "vector").alias("check"))
     named = stored(named, "vectors")
-    counted = named.groupBy("name", "check").agg(F.min("id").alias("node"), F.count("*").alias("times"))
+    members = stored(named.select("id", "name", "check").distinct(), "members")
+    several = stored(members.groupBy("id").count().where("count > 1").select("id", F.lit(True).alias("several")), "repeated-ids")
+    if not several.isEmpty():
+
+        def apart(df: DataFrame) -> DataFrame:
+            own = F.when(F.col("several"), F.xxhash64("check", "id")).otherwise(F.col("check"))
+            return df.join(own_shuffle(several, ["id"]), "id", "left").withColumn("check", own).drop("several")
+
+        named, members = apart(named), apart(members)
+    counted = members.groupBy("name", "check").agg(F.min("id").alias("node"), F.count("*").alias("times"))
     vectors = named.groupBy("name", "check").agg(F.first("vector").alias("vector"))
     points = stored(counted.join(vectors, ["name", "check"]).select("node", "times", "name", "check", "vector"), "points")
     nodes = own_shuffle(points.select("name", "check", "node", "times"), ["name", "check"])
-    return points, named.select("id", "name", "check").join(nodes, ["name", "check"]).select("id", "node", "times")
+    return points, members.join(nodes, ["name", "check"]).select("id", "node", "times").distinct()
 
 
 def links_with(sent, length: int, cosine: float):

@@ -117,3 +117,11 @@ def test_equal_vectors_are_one_point(spark):
     assert sorted(row.times for row in points.collect())[-2:] == [1, 3000]
     found = {tuple(row)[1:3] for row in near_duplicates(df).collect()}
     assert found == {(3019, 0), (0, 9000)}
+
+
+def test_all_vectors_of_a_repeated_id_count(spark):
+    up, right, down = [0.0, 1.0], [1.0, 0.0], [0.0, -1.0]
+    rows = [(1, up, 0), (1, up, 0), (2, up, 0), (2, right, 0), (2, [1.0, 0.01], 0), (3, right, 0), (4, down, 0), (5, down, 0)]
+    found = sorted(map(tuple, near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()))
+    two = [(2, 3, 1, False)] * 3
+    assert found == [(1, 1, 1, True)] * 2 + two + [(3, 2, 1, False), (4, 1, 4, True), (5, 1, 4, False)]
