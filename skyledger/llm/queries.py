@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm.cover_tree import near_duplicates
+from skyledger.llm.exact_dedup import exact_copies
 from skyledger.llm.jaccard_join import jaccard_components
 from skyledger.llm.mixing import mix_sources
 from skyledger.llm.nearest import nearest
@@ -78,6 +79,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_copies(table(spark, sf_dir, "documents"), digests=True)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_source_mix": op2_source_mix,
@@ -89,6 +94,7 @@ QUERIES = {
     "op8_shards": op8_shards,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_quality": op10_quality,
+    "op12_exact_dedup": op12_exact_dedup,
 }
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0b\f\r]+')"
@@ -171,4 +177,13 @@ ORACLES = {
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM scored QUALIFY rank <= 10
     """,
+    "op12_exact_dedup": """
+        WITH texts AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256(regexp_replace(coalesce(text, ''), '[ \t\n\x0b\f\r]', '', 'g')) AS text_sha256
+            FROM documents
+        )
+        SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+               row_number() OVER best = 1 AS kept, text_sha256
+        FROM texts WINDOW best AS (PARTITION BY text_sha256 ORDER BY length(text) DESC, doc_id)
+    """,
 }
