@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm.cover_tree import near_duplicates
+from skyledger.llm.divergence import divergence
 from skyledger.llm.exact_dedup import exact_copies
 from skyledger.llm.jaccard_join import jaccard_components
 from skyledger.llm.mixing import mix_sources
@@ -79,6 +80,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"), least_docs=3, top=200)
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(table(spark, sf_dir, "documents"), digests=True)
 
@@ -94,6 +99,7 @@ QUERIES = {
     "op8_shards": op8_shards,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_quality": op10_quality,
+    "op11_source_divergence": op11_source_divergence,
     "op12_exact_dedup": op12_exact_dedup,
 }
 
@@ -177,6 +183,50 @@ ORACLES = {
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM scored QUALIFY rank <= 10
     """,
+    "op11_source_divergence": r"""
+        WITH texts AS (
+            SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ),
+        kept AS (
+            SELECT lang, term FROM (SELECT lang, unnest(list_distinct(w)) AS term FROM texts) GROUP BY ALL HAVING count(*) >= 3
+        ),
+        occurring AS (
+            SELECT lang, source, term, count(*) AS c FROM (SELECT lang, source, unnest(w) AS term FROM texts)
+            JOIN kept USING (lang, term) GROUP BY ALL
+        ),
+        sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+        grid AS (
+            SELECT g.lang, g.source, k.term, coalesce(o.c, 0) AS c, sum(coalesce(o.c, 0)) OVER (PARTITION BY g.lang, g.source) AS n
+            FROM (SELECT DISTINCT lang, source FROM texts) g JOIN kept k ON k.lang = g.lang
+            LEFT JOIN occurring o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term
+        ),
+        shares AS (
+            SELECT lang, source, term, c, 1 + (CAST(1000000000 AS HUGEINT) * (c + 1)) // (n + v) AS p FROM grid JOIN sizes USING (lang)
+        ),
+        whole AS (
+            SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (c + 1)) // (sum(c) OVER (PARTITION BY lang) + v) AS q
+            FROM (SELECT lang, term, sum(c) AS c FROM grid GROUP BY ALL) JOIN sizes USING (lang)
+        ),
+        summed AS (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+            FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ),
+        pairs AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+            FROM (SELECT DISTINCT lang, source FROM texts) a
+            JOIN (SELECT DISTINCT lang, source FROM texts) b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+        ),
+        above AS (
+            SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // q AS BIGINT) AS value
+            FROM shares JOIN whole USING (lang, term) WHERE c > 0 AND p > q
+        )
+        SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+        FROM (SELECT * FROM pairs UNION ALL SELECT * FROM above) QUALIFY part = 'pair' OR rank <= 200
+    """,
     "op12_exact_dedup": """
         WITH texts AS (
             SELECT doc_id, coalesce(text, '') AS text, sha256(regexp_replace(coalesce(text, ''), '[ \t\n\x0b\f\r]', '', 'g')) AS text_sha256
