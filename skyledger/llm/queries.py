@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.llm.conversation_repair import damage, repair_conversations
 from skyledger.llm.cover_tree import near_duplicates
 from skyledger.llm.divergence import divergence
 from skyledger.llm.exact_dedup import exact_copies
@@ -88,6 +89,11 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(table(spark, sf_dir, "documents"), digests=True)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = repair_conversations(damage(table(spark, sf_dir, "conversations")), lost="lost", digests=True)
+    return found
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_source_mix": op2_source_mix,
@@ -101,6 +107,7 @@ QUERIES = {
     "op10_quality": op10_quality,
     "op11_source_divergence": op11_source_divergence,
     "op12_exact_dedup": op12_exact_dedup,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0b\f\r]+')"
