@@ -243,4 +243,76 @@ ORACLES = {
                row_number() OVER best = 1 AS kept, text_sha256
         FROM texts WINDOW best AS (PARTITION BY text_sha256 ORDER BY length(text) DESC, doc_id)
     """,
+    # The checksum is taken bit by bit; moves are up to two insertions and one edit of a turn.
+    "op13_conversation_repair": r"""
+        WITH RECURSIVE places AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS place
+            FROM conversations
+        ),
+        drawn AS (
+            SELECT *, xor(CAST(4294967295 AS BIGINT), list_reduce(
+                list_transform(range(1, length(place) + 1), lambda i: CAST(ascii(place[i]) AS BIGINT)),
+                lambda crc, byte: list_reduce(range(0, 8), lambda c, bit: xor(c >> 1, CAST(3988292384 AS BIGINT) * (c & 1)), xor(crc, byte)),
+                CAST(4294967295 AS BIGINT))) % 20 AS kind
+            FROM places
+        ),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+            FROM drawn WHERE kind <> 0
+        ),
+        numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+                   CASE role[1] WHEN 's' THEN 0 WHEN 'u' THEN 1 WHEN 'a' THEN 2 ELSE 3 END AS class,
+                   rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid
+            FROM damaged
+        ),
+        turns AS (
+            SELECT *, CASE WHEN solid = '' THEN 2 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 3
+                           WHEN right(solid, 1) IN ('.', '!', '?') THEN 0 ELSE 1 END AS fault,
+                   lead(class) OVER (PARTITION BY conv_id ORDER BY i) AS following
+            FROM numbered
+        ),
+        counts AS (
+            SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 2) AS blank, count(*) FILTER (fault = 3) AS duplicate, count(*) FILTER (fault = 1) AS truncated,
+                   count(*) FILTER (following IS NOT NULL AND 10 * class + following NOT IN (1, 12, 21)) AS illegal
+            FROM turns GROUP BY conv_id
+        ),
+        insertions(state, to_state, cost, edits, made) AS (
+            VALUES (0, 0, 0, '', []), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+                   (0, 2, 2, 'I', ['user:']), (1, 2, 2, 'I', ['user:']), (2, 3, 2, 'I', ['assistant:']), (3, 2, 2, 'I', ['user:']),
+                   (0, 3, 4, 'II', ['user:', 'assistant:']), (1, 3, 4, 'II', ['user:', 'assistant:'])
+        ),
+        edits(state, class, edit, to_state, cost, role) AS (
+            VALUES (0, 0, 'K', 1, 0, NULL), (0, 1, 'K', 2, 0, NULL), (1, 1, 'K', 2, 0, NULL), (2, 2, 'K', 3, 0, NULL), (3, 1, 'K', 2, 0, NULL),
+                   (0, -1, 'R', 2, 2, 'user'), (1, -1, 'R', 2, 2, 'user'), (2, -1, 'R', 3, 2, 'assistant'), (3, -1, 'R', 2, 2, 'user'),
+                   (0, -1, 'D', 0, 3, NULL), (1, -1, 'D', 1, 3, NULL), (2, -1, 'D', 2, 3, NULL), (3, -1, 'D', 3, 3, NULL)
+        ),
+        walk AS (
+            SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, 0 AS state, 0 AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS made FROM conversations
+            UNION ALL
+            SELECT conv_id, i, state, cost, audit, made FROM (
+                SELECT w.conv_id, t.i, e.to_state AS state, w.cost + n.cost + e.cost + CASE WHEN t.fault = 1 AND e.edit <> 'D' THEN 1 ELSE 0 END AS cost,
+                       w.audit || n.edits || e.edit AS audit,
+                       w.made || n.made || CASE e.edit WHEN 'D' THEN [] WHEN 'K' THEN [t.role || ':' || t.text] ELSE [e.role || ':' || t.text] END AS made
+                FROM walk w JOIN turns t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.i = w.i + 1
+                JOIN insertions n ON n.state = w.state
+                JOIN edits e ON e.state = n.to_state AND (e.class = -1 OR e.class = t.class) AND (e.edit = 'D' OR t.fault < 2)
+            ) QUALIFY row_number() OVER (PARTITION BY conv_id, state ORDER BY cost, audit) = 1
+        ),
+        ended AS (
+            SELECT w.conv_id, w.cost + n.cost AS cost, w.audit || n.edits AS audit, w.made || n.made AS made
+            FROM walk w LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id
+            JOIN insertions n ON n.state = w.state AND n.to_state IN (0, 3)
+            WHERE w.i = coalesce(c.n, 0)
+            QUALIFY row_number() OVER (PARTITION BY w.conv_id ORDER BY w.cost + n.cost, w.audit || n.edits) = 1
+        )
+        SELECT e.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+               coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, CAST(e.cost AS BIGINT) AS cost, e.audit,
+               sha256(array_to_string(e.made, chr(10))) AS repaired_sha256
+        FROM ended e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+    """,
 }
