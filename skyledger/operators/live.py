@@ -85,9 +85,12 @@ def time_slice(at: Column, seconds: float) -> Column:
     return F.floor(F.unix_micros(at.cast("timestamp")) / F.lit(int(seconds * 1_000_000)))
 
 
-def status_transitions(status: DataFrame, slice_seconds: float = 60) -> DataFrame:
+def status_transitions(status: DataFrame, slice_seconds: float = 60, ttl_seconds: float | None = None) -> DataFrame:
     """Every change of status of a flight, in time order; equal times are ordered by status.
 
+    With ``ttl_seconds`` a flight is forgotten when two readings lie further apart: the second one
+    begins anew and gives no change.
+
     One flight may hold a large share of all rows, so a flight is not sorted as a whole. Rows are
     compared within short slices of time, each a group of its own, and every slice leaves one row
     with its first and last status. Only these rows are then compared along the flight.
@@ -99,13 +102,22 @@ def status_transitions(status: DataFrame, slice_seconds: float = 60) -> DataFram
     ).withColumns(
         {
             "_previous": F.lag("status").over(at_slice),
+            "_previous_at": F.lag("last_updated").over(at_slice),
             "_last": F.lead(F.lit(True)).over(at_slice).isNull(),
             "_first_status": F.first("status").over(so_far),
             "_first_at": F.first("last_updated").over(so_far),
         }
     )
-    inside = read.filter(F.col("_previous") != F.col("status")).select(
-        *FLIGHT_KEY, "_previous", F.col("status").alias("_new"), F.col("last_updated").alias("_at")
+
+    def changed(rows: DataFrame) -> DataFrame:
+        rows = rows.filter(F.col("_previous") != F.col("_new"))
+        if ttl_seconds is None:
+            return rows
+        apart = F.unix_micros(F.col("_at").cast("timestamp")) - F.unix_micros(F.col("_previous_at").cast("timestamp"))
+        return rows.filter(apart <= int(ttl_seconds * 1_000_000))
+
+    inside = read.select(
+        *FLIGHT_KEY, "_previous", "_previous_at", F.col("status").alias("_new"), F.col("last_updated").alias("_at")
     )
     along = W.partitionBy(*FLIGHT_KEY).orderBy("_slice")
     between = (
@@ -113,12 +125,12 @@ def status_transitions(status: DataFrame, slice_seconds: float = 60) -> DataFram
         .select(
             *FLIGHT_KEY,
             F.lag("status").over(along).alias("_previous"),
+            F.lag("last_updated").over(along).alias("_previous_at"),
             F.col("_first_status").alias("_new"),
             F.col("_first_at").alias("_at"),
         )
-        .filter(F.col("_previous") != F.col("_new"))
     )
-    return inside.unionByName(between).select(
+    return changed(inside).unionByName(changed(between)).select(
         *FLIGHT_KEY,
         event_type(F.col("_previous"), F.col("_new")).alias("event_type"),
         F.col("_at").alias("event_timestamp"),

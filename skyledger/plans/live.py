@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.live import live_flight_status
 from ..sources.landing import land_flight_polls
 from ..sources.tables import read_folder_stream, read_landing_stream
-from ..streaming.alerts import alert_writer
+from ..streaming.alerts import fired_schema, first_matches, match_writer
 from ..streaming.status_events import STATE_TTL_MS, flight_status_events
 
 
@@ -32,7 +32,8 @@ def start_live_job(
     """Start the streams: landing rows to ``live_flight_status``, and these to ``flight_status_events``.
 
     Both are parquet folders below ``root``, written exactly once; checkpoints lie next to them. Given
-    the current watches and alerts, a third stream writes fired alerts to ``fired_alerts``.
+    the current watches and alerts, two more streams match landings with them and write every fired alert
+    once to ``fired_alerts``.
     """
     root = root.rstrip("/")
 
@@ -50,7 +51,11 @@ def start_live_job(
         folder = f"{root}/flight_status_events"
         spark.createDataFrame([], events.schema).write.mode("append").partitionBy("flight_date").parquet(folder)
         landings = read_folder_stream(spark, folder, events.schema, partition_by=["flight_date"])
-        writer = alert_writer(landings, load_watches, load_alerts, f"{root}/fired_alerts").queryName("fired_alerts")
-        writer = writer.option("checkpointLocation", f"{root}/_checkpoints/fired_alerts")
+        matched = f"{root}/matched_alerts"
+        writer = match_writer(landings, load_watches, load_alerts, matched).queryName("matched_alerts")
+        writer = writer.option("checkpointLocation", f"{root}/_checkpoints/matched_alerts")
         queries.append(writer.trigger(processingTime=every).start())
+        fired = first_matches(spark, matched, fired_schema(load_watches(), load_alerts(), events))
+        writer = fired.writeStream.queryName("fired_alerts").option("checkpointLocation", f"{root}/_checkpoints/fired_alerts")
+        queries.append(writer.trigger(processingTime=every).format("parquet").start(f"{root}/fired_alerts"))
     return queries

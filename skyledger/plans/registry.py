@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lookups import create_lookup_functions
 from ..functions.text import is_valid_email
 from ..operators import audit, chunking, flights, live, metrics, retrieval, state, transcripts
+from ..schemas import FLIGHT_LANDING
 from ..session import work_dir
 from ..sources import csv_flights, documents, landing, tables
-from ..streaming.run import drain, stream_session
+from ..streaming.alerts import alert_sink, fired_schema, first_matches
+from ..streaming.run import drain, run_available, stream_session
+from ..streaming.sinks import batch_sink, committed
 from ..streaming.status_events import flight_status_events
 from . import historical, live as live_plan
 from .adapters import oracle, table
@@ -332,6 +337,120 @@ def live_status_stream(spark, sf_dir):
     return spark.read.parquet(f"{root}/status").withColumns(naive("last_updated"))
 
 
+# --- streams over several runs ---------------------------------------------------------------
+
+# A reading is compared with the one before it in the order of appends; too long a gap begins anew.
+_FOLLOWED = """followed AS (
+    SELECT *, lag(status) OVER along AS previous, lag(last_updated) OVER along AS previous_at
+    FROM {rows} WINDOW along AS (PARTITION BY flight_number, flight_date ORDER BY {order} last_updated, status)),
+status_events AS (
+    SELECT flight_number, flight_date, CASE WHEN status = 'in_air' THEN 'departure' ELSE 'landing' END AS event_type,
+           last_updated AS event_timestamp, previous AS previous_status, status AS new_status
+    FROM followed WHERE previous <> status AND epoch_us(last_updated) - epoch_us(previous_at) <= {hours} * 3600000000)"""
+_EXPIRING = f"{_STATUS}, " + _FOLLOWED.replace("{rows}", "status").replace("{order}", "").replace("{hours}", "2")
+
+
+@query(f"WITH {_EXPIRING} SELECT * FROM status_events")
+def status_transitions_with_expiry(spark, sf_dir):
+    return live.status_transitions(_status(spark, sf_dir), ttl_seconds=2 * 3600).withColumns(naive("event_timestamp"))
+
+
+def _follow_appends(spark, sf_dir, part: Column, watermark: str, ttl_ms: int) -> DataFrame:
+    """Land the responses in three appends, and follow them: the stream starts anew for each append
+    and goes on from its checkpoint."""
+    root, files = work_dir(spark, "appends"), 4
+    landed = _landing(spark, sf_dir)
+    streams = stream_session(spark)
+    for number in range(3):
+        rows = landed.filter(part == number)
+        rows.repartition(files, "flight_number", "flight_date").write.mode("append").parquet(f"{root}/landing")
+        stream = tables.read_folder_stream(streams, f"{root}/landing", landed.schema, files_per_batch=files)
+        events = flight_status_events(live.live_flight_status(stream), ttl_ms, watermark)
+        run_available(events.writeStream.format("parquet").option("path", f"{root}/events"), f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/events").withColumns(naive("event_timestamp"))
+
+
+def _third(at: str) -> Column:
+    return F.when(F.day(at) > 20, 2).when(F.day(at) > 10, 1).otherwise(0)
+
+
+@query(f"WITH {_EXPIRING} SELECT * FROM status_events")
+def status_expiry_stream(spark, sf_dir):
+    return _follow_appends(spark, sf_dir, _third("ingested_at"), "10 minutes", 2 * 3600 * 1000)
+
+
+@query(f"""WITH {_STATUS}, appended AS (
+    SELECT *, CASE WHEN day(last_updated) > 20 OR minute(last_updated) % 5 = 0 THEN 2 WHEN day(last_updated) > 10 THEN 1 ELSE 0 END AS part
+    FROM status),
+newest AS (SELECT part, max(date_trunc('milliseconds', last_updated)) AS newest FROM appended GROUP BY part),
+watermarks AS (
+    SELECT part, max(newest) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 3 DAY AS watermark FROM newest),
+in_time AS (SELECT a.* FROM appended a JOIN watermarks w USING (part) WHERE watermark IS NULL OR last_updated > watermark),
+{_FOLLOWED.replace("{rows}", "in_time").replace("{order}", "part,").replace("{hours}", "4")}
+SELECT * FROM status_events""")
+def late_status_stream(spark, sf_dir):
+    late = F.when(F.minute("ingested_at") % 5 == 0, 2).otherwise(_third("ingested_at"))
+    return _follow_appends(spark, sf_dir, late, "3 days", 4 * 3600 * 1000)
+
+
+class _Stopped(RuntimeError):
+    """A failure made on purpose."""
+
+
+def _fail_after(sink, number: int):
+    """A sink that fails when it has written batch ``number``, before Spark knows of it."""
+
+    def write(batch: DataFrame, this: int) -> None:
+        sink(batch, this)
+        if this == number:
+            raise _Stopped(f"batch {this} is written")
+
+    return write
+
+
+def _run_with_failure(stream: DataFrame, sink, checkpoint: str) -> None:
+    """Run a stream that fails in its second batch, then run it to the end from its checkpoint."""
+    try:
+        run_available(stream.writeStream.foreachBatch(_fail_after(sink, 1)), checkpoint)
+        raise AssertionError("the stream was to fail")
+    except StreamingQueryException as failure:
+        if _Stopped.__name__ not in str(failure):
+            raise
+    run_available(stream.writeStream.foreachBatch(sink), checkpoint)
+
+
+@query(f"WITH {_LANDING} SELECT ingested_at, flight_number, flight_date, found, poll_error FROM landing")
+def restarted_table_stream(spark, sf_dir):
+    """Appends to a table, read as a stream that fails half-way and is started again."""
+    root, name = work_dir(spark, "table"), f"landing_{uuid.uuid4().hex}"
+    landed = _landing(spark, sf_dir)
+    for number in range(3):
+        tables.append_table(landed.filter(_third("ingested_at") == number), name, FLIGHT_LANDING, path=f"{root}/landing")
+    files = len(spark.table(name).inputFiles())
+    stream = tables.read_landing_stream(stream_session(spark), name, files_per_batch=max(1, files // 4))
+    _run_with_failure(stream, batch_sink(f"{root}/read"), f"{root}/checkpoint")
+    rows = committed(spark, f"{root}/read", FLIGHT_LANDING)
+    spark.sql(f"DROP TABLE {name}")
+    return rows.drop("raw_json").withColumns(naive("ingested_at"))
+
+
+@query(f"""WITH {_LANDING} SELECT date_trunc('week', ingested_at) AS week, count(*) AS polled,
+           count(*) FILTER (WHERE found) AS found_count FROM landing GROUP BY 1""")
+def observed_poll_stream(spark, sf_dir):
+    """Counts that a stream reports while it runs, one micro-batch per week of polls."""
+    root = work_dir(spark, "polls")
+    landed = _landing(spark, sf_dir).withColumn("week", F.date_trunc("week", "ingested_at"))
+    weeks = [row.week for row in landed.select("week").distinct().orderBy("week").collect()]
+    streams, counted = stream_session(spark), []
+    for week in weeks:
+        landed.filter(F.col("week") == F.lit(week)).drop("week").write.mode("append").parquet(f"{root}/landing")
+        stream = tables.read_folder_stream(streams, f"{root}/landing", FLIGHT_LANDING)
+        sink = landing.observe_polls(stream).writeStream.format("parquet").option("path", f"{root}/copied")
+        counted += landing.observed_polls(run_available(sink, f"{root}/checkpoint"))
+    rows = spark.createDataFrame(counted, "batch long, first_micros long, polled long, found_count long")
+    return rows.select(F.date_trunc("week", F.timestamp_micros("first_micros")).alias("week"), "polled", "found_count").withColumns(naive("week"))
+
+
 # --- documents and retrieval -----------------------------------------------------------------
 
 _LINES = """lines AS (
@@ -735,6 +854,24 @@ def match_alerts(spark, sf_dir):
     return fired.withColumns(naive("next_fire_at", "triggered_at", "_timestamp"))
 
 
+@query(ORACLES["match_alerts"])
+def fired_alert_stream(spark, sf_dir):
+    """Landings appended in three parts of the day fire alerts; the matching stream fails once."""
+    root, files = work_dir(spark, "alerts"), 4
+    events = live.status_transitions(_status(spark, sf_dir))
+    watches, alerts = table(spark, sf_dir, "event_watches"), table(spark, sf_dir, "event_alerts")
+    for number in range(3):
+        part = events.filter(F.floor(F.hour("event_timestamp") / 8) == number)
+        part.repartition(files, "flight_number", "flight_date").write.mode("append").parquet(f"{root}/events")
+    streams = stream_session(spark)
+    landings = tables.read_folder_stream(streams, f"{root}/events", events.schema, files_per_batch=files)
+    schema = fired_schema(watches, alerts, events)
+    _run_with_failure(landings, alert_sink(lambda: watches, lambda: alerts, f"{root}/matched"), f"{root}/checkpoint")
+    fired = first_matches(streams, f"{root}/matched", schema, files_per_batch=1)
+    run_available(fired.writeStream.format("parquet").option("path", f"{root}/fired"), f"{root}/fired-checkpoint")
+    return spark.read.schema(schema).parquet(f"{root}/fired").withColumns(naive("next_fire_at", "triggered_at", "_timestamp"))
+
+
 @query("""SELECT watch_id, user_id, flight_number, flight_date, status FROM {watched_flights_history}
           WHERE status = 'active'""")
 def list_watched_flights(spark, sf_dir):

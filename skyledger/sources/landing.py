@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.once import with_once
 from ..schemas import AREA_LANDING, FLIGHT_LANDING, conform
@@ -90,3 +91,34 @@ def poll_summary(landing: DataFrame) -> DataFrame:
     return landing.groupBy("ingested_at").agg(
         F.count(F.lit(1)).alias("polled"), F.count_if("found").alias("found_count")
     )
+
+
+# Name under which a stream reports its polls.
+POLLS = "polls"
+
+
+def observe_polls(landing: DataFrame) -> DataFrame:
+    """A landing stream that counts the flights polled and found while its rows pass.
+
+    The counts of each micro-batch come with the progress of whatever query runs the stream; nothing is
+    read twice and nothing is shuffled.
+    """
+    return landing.observe(
+        POLLS,
+        F.min(F.unix_micros("ingested_at")).alias("first_micros"),
+        F.count(F.lit(1)).alias("polled"),
+        F.count(F.when(F.col("found"), 1)).alias("found_count"),
+    )
+
+
+def observed_polls(query: StreamingQuery) -> list[tuple]:
+    """(batch, first_micros, polled, found_count) of the micro-batches with rows of a query.
+
+    Spark keeps the progress of the last ``spark.sql.streaming.numRecentProgressUpdates`` of them.
+    """
+    rows = {}
+    for progress in query.recentProgress:
+        polls = progress.observedMetrics.get(POLLS)
+        if polls is not None and polls.polled:
+            rows[progress.batchId] = (progress.batchId, polls.first_micros, polls.polled, polls.found_count)
+    return [rows[batch] for batch in sorted(rows)]

@@ -17,10 +17,12 @@ FILES_PER_BATCH = 1000
 
 
 def append_table(
-    df: DataFrame, table: str, schema: T.StructType, partition_by: Sequence[str] = ()
+    df: DataFrame, table: str, schema: T.StructType, partition_by: Sequence[str] = (), path: str | None = None
 ) -> None:
-    """Append rows of a declared schema to a table."""
+    """Append rows of a declared schema to a table, which lies in the warehouse or at ``path``."""
     writer = conform(df, schema).write.mode("append")
+    if path:
+        writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)

@@ -1,37 +1,51 @@
-"""Alerts fired by landing events."""
+"""Alerts fired by landing events.
+
+Two streams, so that what a micro-batch costs does not depend on what was fired before: the first
+matches landings with the alerts that wait at that moment, the second lets every alert through once, by
+keyed state.
+"""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.state import match_alerts
+from ..sources.tables import FILES_PER_BATCH, read_folder_stream
+from .sinks import BATCH, batch_sink, make_folder
+
 
+def alert_sink(load_watches: Callable[[], DataFrame], load_alerts: Callable[[], DataFrame], folder: str) -> Callable[[DataFrame, int], None]:
+    """A function for ``foreachBatch`` that commits the alerts which the landings of a batch match.
+
+    ``load_watches`` and ``load_alerts`` give the current rows when a batch runs. A batch that is run
+    again after a failure keeps what it committed.
+    """
+    return batch_sink(folder, lambda batch: match_alerts(batch, load_watches(), load_alerts()))
 
-def alert_writer(
-    events: DataFrame,
-    load_watches: Callable[[], DataFrame],
-    load_alerts: Callable[[], DataFrame],
-    fired_path: str,
+
+def match_writer(
+    events: DataFrame, load_watches: Callable[[], DataFrame], load_alerts: Callable[[], DataFrame], folder: str
 ) -> DataStreamWriter:
-    """Write alert history rows for the landings of every micro-batch; start the returned writer.
+    """Match a stream of events with ``alert_sink``; start the returned writer."""
+    return events.writeStream.foreachBatch(alert_sink(load_watches, load_alerts, folder))
+
+
+def first_matches(spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """The stream of alerts fired: of the rows committed by ``match_writer``, the first of each alert.
 
-    ``load_alerts`` gives the current alerts, as folded when the batch runs. An alert fires once: those
-    whose id stands below ``fired_path`` already are left out, whichever query or checkpoint wrote
-    them. Every batch of every start writes a folder of its own, so nothing is overwritten. Fold
-    written rows into the alerts from time to time and move their folders away.
+    The state is one key per alert ever fired. It belongs to the checkpoint of the query that runs this
+    stream; the stream before it may begin with a new one, and no alert fires again.
     """
-    run = uuid.uuid4().hex
+    make_folder(spark, folder)
+    found = T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])
+    return read_folder_stream(spark, folder, found, files_per_batch, [BATCH]).drop(BATCH).dropDuplicates(["alert_id"])
 
-    def fire(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = match_alerts(batch, load_watches(), load_alerts())
-        # An empty part gives the folder its schema on the first start.
-        rows.limit(0).write.mode("append").parquet(f"{fired_path}/run={run}")
-        fired = spark.read.schema(rows.schema).parquet(fired_path).select("alert_id").distinct()
-        rows.join(fired, "alert_id", "left_anti").select(*rows.columns).write.mode("append").parquet(f"{fired_path}/run={run}")
 
-    return events.writeStream.foreachBatch(fire)
+def fired_schema(watches: DataFrame, alerts: DataFrame, events: DataFrame) -> T.StructType:
+    """Columns of fired alerts."""
+    empty = events.sparkSession.createDataFrame([], events.schema)
+    return match_alerts(empty, watches, alerts).schema

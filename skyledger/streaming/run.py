@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
@@ -43,3 +43,13 @@ def drain(query: StreamingQuery, rows: int, stall_seconds: float = 600) -> None:
         raise TimeoutError(f"{sum(seen.values())} of {rows} rows read, and no batch ended in {stall_seconds} s")
     finally:
         query.stop()
+
+
+def run_available(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
+    """Run a stream over the input there is, from its checkpoint on; the query has ended when this returns.
+
+    Not for streams with a timeout in processing time, which keep such a run alive.
+    """
+    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query

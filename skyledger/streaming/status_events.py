@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -44,26 +43,22 @@ def thin_readings(status: DataFrame, slice_seconds: float = 60) -> DataFrame:
     return sliced.repartition(*FLIGHT_KEY, "_slice").mapInPandas(_drop_repeats, _READING)
 
 
-def _load(text: str, expired_before_ms: int) -> dict[tuple, tuple[str, int]]:
-    """Last status and time seen per flight, without the flights that have expired."""
-    return {
-        (number, date): (status, seen) for number, date, status, seen in json.loads(text) if seen > expired_before_ms
-    }
-
-
-def _dump(last: dict[tuple, tuple[str, int]]) -> str:
-    return json.dumps([[*flight, *entry] for flight, entry in last.items()])
+# Last status of each flight of a bucket, and when it was seen: microseconds of event time where there is a
+# watermark, else milliseconds of processing time.
+_STATE = "flights array<struct<number: string, date: string, status: string, seen: bigint>>"
 
 
 def _follow(ttl_ms: int, event_time: bool):
     """Follows the flights of one bucket; the state is the last status of each of them."""
+    ttl = ttl_ms * 1000 if event_time else ttl_ms
 
     def follow(_, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
         now_ms = state.getCurrentWatermarkMs() if event_time else state.getCurrentProcessingTimeMs()
-        last = _load(state.get[0], now_ms - ttl_ms) if state.exists else {}
+        now = now_ms * 1000 if event_time else now_ms
+        last = {(number, date): (status, seen) for number, date, status, seen in (state.get[0] if state.exists else ())}
         readings: list[tuple] = []
         for batch in batches:
             at = batch["last_updated"].to_numpy("datetime64[us]").astype("int64").tolist()
@@ -71,16 +66,22 @@ def _follow(ttl_ms: int, event_time: bool):
         readings.sort(key=lambda reading: reading[:2])
         changes = []
         for at, status, number, date in readings:
-            previous = last.get((number, date), (None,))[0]
-            if previous is not None and status != previous:
+            moment = at if event_time else now
+            previous, seen = last.get((number, date), (None, moment))
+            if previous is not None and status != previous and moment - seen <= ttl:
                 changes.append((number, date, at, previous, status))
-            last[number, date] = (status, at // 1000 if event_time else now_ms)
-        state.update((_dump(last),))
-        if event_time:
-            newest_ms = max(seen for _, seen in last.values())
-            state.setTimeoutTimestamp(max(newest_ms + ttl_ms, now_ms + 1))
-        else:
-            state.setTimeoutDuration(ttl_ms)
+            last[number, date] = (status, moment)
+        # Every later reading that is not late is more than the time to live away from these.
+        kept = [(*flight, *entry) for flight, entry in last.items() if entry[1] + ttl >= now]
+        if kept:
+            state.update((kept,))
+            if event_time:
+                newest_ms = max(entry[3] for entry in kept) // 1000
+                state.setTimeoutTimestamp(max(newest_ms + ttl_ms, now_ms) + 1)
+            else:
+                state.setTimeoutDuration(ttl_ms)
+        elif state.exists:
+            state.remove()
         if changes:
             found = pd.DataFrame(changes, columns=["flight_number", "date", "at", "previous", "new"])
             yield found.assign(at=pd.to_datetime(found["at"], unit="us"))
@@ -98,29 +99,33 @@ def flight_status_events(
     """Every change of a flight's status against its last known one, across micro-batches.
 
     The first reading of a flight gives no event. Readings of one micro-batch are put in time order,
-    equal times by status. By default a late reading counts as the newest, and a flight without
-    readings for ``ttl_ms`` of processing time is forgotten. With ``watermark`` readings older than
-    it are dropped, and forgetting goes by event time.
+    equal times by status, and compared after those of earlier ones: a late reading counts as the newest.
+
+    By default a flight without readings for ``ttl_ms`` of processing time is forgotten. With
+    ``watermark`` a reading up to that delay behind the newest of earlier micro-batches is dropped, and a
+    flight is forgotten when two of its readings lie more than ``ttl_ms`` apart, however they fall into
+    micro-batches. Readings are then not thinned ahead, as a late one could stand for one in time.
 
     Flights are followed in ``buckets`` groups, as calling Python once per flight costs more than the
     work itself. The number bounds the tasks that can run at a time and must stay the same for the
     life of a checkpoint.
 
-    Run it with a processing-time trigger: a pending timeout keeps an ``availableNow`` run alive. A
-    micro-batch bounds what one task holds, so bound it at the source (files or bytes per trigger).
+    Without a watermark run it with a processing-time trigger: a pending timeout keeps an
+    ``availableNow`` run alive. A micro-batch bounds what one task holds, so bound it at the source (files or bytes per trigger).
     """
-    readings = thin_readings(status, slice_seconds)
-    timeout = GroupStateTimeout.ProcessingTimeTimeout
     if watermark:
-        readings = readings.withWatermark("last_updated", watermark)
+        readings = status.select(*FLIGHT_KEY, "status", "last_updated").withWatermark("last_updated", watermark)
         timeout = GroupStateTimeout.EventTimeTimeout
+    else:
+        readings = thin_readings(status, slice_seconds)
+        timeout = GroupStateTimeout.ProcessingTimeTimeout
     bucket = F.pmod(F.xxhash64(*FLIGHT_KEY), F.lit(buckets)).cast("int")
     keyed = readings.select(
         bucket.alias("bucket"), "flight_number", F.col("flight_date").cast("string").alias("date"),
         "status", "last_updated",
     )
     changes = keyed.groupBy("bucket").applyInPandasWithState(
-        _follow(ttl_ms, watermark is not None), _CHANGE, "last_statuses string", "append", timeout
+        _follow(ttl_ms, watermark is not None), _CHANGE, _STATE, "append", timeout
     )
     return changes.select(
         "flight_number",

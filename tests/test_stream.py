@@ -1,17 +1,21 @@
 from __future__ import annotations
 
+import datetime
 import random
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from skyledger.operators.live import status_transitions
 from skyledger.operators.state import ALERT_COLUMNS, WATCH_COLUMNS
 from skyledger.session import work_dir
+from skyledger.sources.landing import observe_polls, observed_polls
 from skyledger.sources.tables import append_table, read_folder_stream, read_landing_stream
 from skyledger.schemas import FLIGHT_LANDING
-from skyledger.streaming.alerts import alert_writer
-from skyledger.streaming.run import drain
+from skyledger.streaming.alerts import fired_schema, first_matches, match_writer
+from skyledger.streaming.run import drain, run_available
+from skyledger.streaming.sinks import BATCH, batch_sink, commit_folder, committed
 from skyledger.streaming.status_events import flight_status_events, thin_readings
 
 from .test_live import DAY, STATUS, at, brute_transitions
@@ -148,11 +152,101 @@ def test_landings_fire_alerts_once(spark):
         rows = [("a", DAY, "landing", at(seconds), "in_air", "on_ground"), ("a", DAY, "departure", at(seconds + 5), "on_ground", "in_air")]
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
     stream = read_folder_stream(spark, f"{folder}/in", schema, files_per_batch=1)
-    for start in range(2):  # a new checkpoint neither erases nor fires again
-        query = (
-            alert_writer(stream, lambda: watches, lambda: alerts, f"{folder}/fired")
-            .option("checkpointLocation", f"{folder}/check{start}").trigger(processingTime="0 seconds").start()
-        )
-        drain(query, 6)
+    out = fired_schema(watches, alerts, stream)
+    for start in range(2):  # a new checkpoint of the matching stream neither erases nor fires again
+        run_available(match_writer(stream, lambda: watches, lambda: alerts, f"{folder}/matched"), f"{folder}/check{start}")
+        fired = first_matches(spark, f"{folder}/matched", out, files_per_batch=1)
+        run_available(fired.writeStream.format("parquet").option("path", f"{folder}/fired"), f"{folder}/check-fired")
     fired = spark.read.parquet(f"{folder}/fired").select(*ALERT_COLUMNS, "_pg_change_type", "_timestamp").collect()
     assert [(r.alert_id, r.status, r.triggered_at, r._pg_change_type) for r in fired] == [(10, "triggered", at(200), "update")]
+    assert committed(spark, f"{folder}/matched", out).count() == 6
+
+
+def test_a_folder_is_committed_once_and_whole(spark):
+    folder = work_dir(spark, "commits")
+    assert commit_folder(spark.range(5), folder, f"{BATCH}=a-0")
+    assert not commit_folder(spark.range(9), folder, f"{BATCH}=a-0")
+    assert not commit_folder(spark.range(0), folder, f"{BATCH}=a-1")
+    with pytest.raises(Exception, match="half"):
+        broken = spark.range(100, numPartitions=4).select(F.when(F.col("id") < 60, F.col("id")).otherwise(F.raise_error(F.lit("half")).cast("long")).alias("id"))
+        commit_folder(broken, folder, f"{BATCH}=a-2")
+    assert commit_folder(spark.range(5, 7), folder, f"{BATCH}=a-2")
+    assert sorted(row.id for row in committed(spark, folder, "id long").collect()) == list(range(7))
+    assert committed(spark, work_dir(spark, "nothing"), "id long").count() == 0
+
+
+def test_a_batch_run_again_is_not_written_again(spark):
+    folder = work_dir(spark, "again")
+    for number in range(4):
+        spark.range(number * 10, number * 10 + 10).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = read_folder_stream(spark, f"{folder}/in", spark.range(0).schema, files_per_batch=1)
+    ran = []
+    sink = batch_sink(f"{folder}/out", lambda batch: (ran.append(1), batch)[1])
+
+    def failing(batch, number):
+        sink(batch, number)
+        if number == 2:
+            raise RuntimeError("after the write")
+
+    with pytest.raises(Exception, match="after the write"):
+        run_available(stream.writeStream.foreachBatch(failing), f"{folder}/check")
+    assert committed(spark, f"{folder}/out", "id long").count() == 30
+    run_available(stream.writeStream.foreachBatch(sink), f"{folder}/check")
+    assert sorted(row.id for row in committed(spark, f"{folder}/out", "id long").collect()) == list(range(40))
+    assert len(committed(spark, f"{folder}/out", "id long").inputFiles()) == 4
+
+
+def brute_followed(batches, delay, ttl):
+    """Events of readings in micro-batches: late ones dropped, long gaps forgotten."""
+    last, events, newest = {}, [], None
+    for rows in batches:
+        watermark = None if newest is None else newest - delay
+        for number, date, status, _, _, moment in sorted(rows, key=lambda row: (row[5], row[2])):
+            seconds = (moment - at(0)).total_seconds()
+            if watermark is not None and seconds <= watermark:
+                continue
+            before = last.get(number)
+            if before and before[0] != status and seconds - before[1] <= ttl:
+                kind = "departure" if status == "in_air" else "landing"
+                events.append((number, date, kind, moment, before[0], status))
+            last[number] = (status, seconds)
+        newest = max([newest or 0, *[(row[5] - at(0)).total_seconds() for row in rows]])
+    return sorted(events, key=repr)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_late_readings_and_gaps_against_brute_force(spark, seed):
+    draw = random.Random(seed)
+    folder = work_dir(spark, "late")
+    schema = spark.createDataFrame([], STATUS).schema
+    batches = []
+    for part in range(4):
+        moments = [draw.randrange(max(0, part * 1000 - 900), part * 1000 + 1000) for _ in range(250)]
+        batches.append([reading(draw.choice("abcdefghij"), draw.choice(["on_ground", "in_air"]), moment) for moment in moments])
+    for rows in batches:
+        spark.createDataFrame(rows, STATUS).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = read_folder_stream(spark, f"{folder}/in", schema, files_per_batch=1)
+        events = flight_status_events(stream, ttl_ms=60_000, watermark="300 seconds", buckets=4)
+        run_available(events.writeStream.format("parquet").option("path", f"{folder}/out"), f"{folder}/check")
+    found = sorted((tuple(row) for row in spark.read.parquet(f"{folder}/out").collect()), key=repr)
+    assert found == brute_followed(batches, 300, 60)
+    assert found != brute_followed(batches, 10**9, 60) and found != brute_followed(batches, 300, 10**9)
+
+
+def test_batch_expiry_is_the_stream_without_late_readings(spark):
+    draw = random.Random(4)
+    rows = [reading(draw.choice("ab"), draw.choice(["on_ground", "in_air"]), draw.randrange(9000)) for _ in range(400)]
+    for ttl in (5, 40, 4000):
+        found = status_transitions(spark.createDataFrame(rows, STATUS), slice_seconds=30, ttl_seconds=ttl)
+        assert sorted((tuple(row) for row in found.collect()), key=repr) == brute_followed([rows], 10**9, ttl)
+
+
+def test_polls_are_counted_while_they_pass(spark):
+    folder = work_dir(spark, "polls")
+    for number, found in enumerate([[True, False, True], [False], [True]]):
+        rows = [(at(number * 10), "a", DAY, one, None, None) for one in found]
+        spark.createDataFrame(rows, FLIGHT_LANDING).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = observe_polls(read_folder_stream(spark, f"{folder}/in", FLIGHT_LANDING, files_per_batch=1))
+    query = run_available(stream.writeStream.format("parquet").option("path", f"{folder}/out"), f"{folder}/check")
+    micros = [int(at(second).replace(tzinfo=datetime.timezone.utc).timestamp() * 1_000_000) for second in (0, 10, 20)]
+    assert observed_polls(query) == [(0, micros[0], 3, 2), (1, micros[1], 1, 0), (2, micros[2], 1, 1)]
