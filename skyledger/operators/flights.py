@@ -102,7 +102,10 @@ def file_coverage(df: DataFrame) -> DataFrame:
 
 
 def coverage_check(coverage: DataFrame, expected: int = 12) -> DataFrame:
-    """One row: number of files and rows, and whether the number of files is the expected one."""
+    """One row: number of files and rows, and whether the number of files is the expected one.
+
+    Rows whose file is not known count as rows only.
+    """
     return coverage.agg(
-        F.count(F.lit(1)).alias("file_count"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count")
+        F.count("source_file").alias("file_count"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count")
     ).withColumn("complete", F.col("file_count") == expected)

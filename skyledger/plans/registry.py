@@ -122,13 +122,15 @@ def coverage_check(spark, sf_dir):
 @query("""SELECT count(DISTINCT month(FlightDate)) AS file_count, count(*) AS row_count,
                  count(DISTINCT month(FlightDate)) = 12 AS complete FROM {flights}""")
 def scanned_coverage(spark, sf_dir):
+    """Files written in one pass, several of them for a month; rows without a date are in none of the twelve."""
     folder = work_dir(spark, "csv")
     rows = table(spark, sf_dir, "flights")
-    rows = rows.select(F.month("FlightDate").alias("month"), *[F.col(name).cast("string") for name in rows.columns])
-    for month in range(1, 13):  # a file for each month
-        monthly = rows.filter(F.col("month") == month).drop("month").coalesce(1)
-        monthly.write.mode("append").option("header", True).csv(folder)
-    return flights.coverage_check(flights.file_coverage(csv_flights.scan_flight_csvs(spark, folder)))
+    month = F.month("FlightDate")
+    rows.select(month.alias("month"), month.alias("in_month"), *[F.col(name).cast("string") for name in rows.columns]).write.partitionBy(
+        "month"
+    ).option("header", True).csv(folder)
+    scanned = csv_flights.scan_flight_csvs(spark, folder).withColumn("source_file", F.col("in_month"))
+    return flights.coverage_check(flights.file_coverage(scanned))
 
 
 def _lookups(spark, sf_dir):

@@ -8,6 +8,7 @@ from skyledger.functions.lookups import create_lookup_functions
 from skyledger.operators.flights import clean_flights, coverage_check, dedup_flights, delay_stats, file_coverage
 from skyledger.plans.historical import historical_delay_stats
 from skyledger.schemas import FlightColumns
+from skyledger.sources import csv_flights
 from skyledger.sources.csv_flights import list_csv_files, scan_flight_csvs
 
 SCHEMA = "FlightDate string, Reporting_Airline string, Origin string, Dest string, ArrDelay string, Cancelled string"
@@ -144,3 +145,37 @@ def test_scan_reads_past_a_blank_first_line(spark, tmp_path):
     (tmp_path / "c.csv").write_text("\n \n")
     with pytest.raises(ValueError, match="no header"):
         scan_flight_csvs(spark, str(tmp_path))
+
+
+def bytes_read(spark):
+    """Bytes that Spark's readers have read so far, by its own metrics."""
+    context = spark.sparkContext
+    nothing = context._gateway.new_array(context._jvm.double, 0)
+    stages = context._jsc.sc().statusStore().stageList(None, False, False, nothing, context._jvm.java.util.ArrayList())
+    return sum(stages.apply(at).inputBytes() for at in range(stages.size()))
+
+
+def test_bodies_are_read_once(spark, tmp_path):
+    for number in range(3):
+        header = "a,b\n" if number else "\n b,a,\n"
+        (tmp_path / f"{number} +.csv").write_text(header + "1,2\n" * 200_000)
+    before = bytes_read(spark)
+    rows = scan_flight_csvs(spark, str(tmp_path))
+    ahead = bytes_read(spark) - before
+    assert rows.groupBy("source_file").count().count() == 3
+    size = sum(path.stat().st_size for path in tmp_path.iterdir())
+    assert ahead < size / 10 and bytes_read(spark) - before < 1.2 * size
+
+
+def test_headers_are_found_in_small_pieces_and_by_scanning(spark, tmp_path, monkeypatch):
+    texts = ["a,b\r\n1,2", "\n \t\n" + "long," * 50 + "é\n1", "only", "x,y\n", "﻿q,r\n1,2\n"]
+    for number, text in enumerate(texts):
+        (tmp_path / f"f{number} é.csv").write_bytes(text.encode())
+    wanted = ["a,b", "long," * 50 + "é", "only", "x,y", "q,r"]
+    for size in (1, 7, 16 << 10):
+        monkeypatch.setattr(csv_flights, "HEAD_BYTES", size)
+        found = csv_flights._headers(spark, str(tmp_path))
+        assert sorted(found) == sorted(wanted)
+    files = list_csv_files(spark, str(tmp_path)).select("path")
+    scanned = {row.path: row.header.lstrip("﻿") for row in csv_flights._scanned_headers(spark, str(tmp_path), files).collect()}
+    assert scanned == {path: header for header, paths in found.items() for path in paths}
