@@ -167,11 +167,16 @@ def sync_index(
     new_chunks: DataFrame,
     embed: Callable[[DataFrame], DataFrame],
     key: str = "chunk_id",
+    feed: DataFrame | None = None,
 ) -> DataFrame:
-    """The index after a new version of the chunks: only new and changed chunks are embedded."""
+    """The index after a new version of the chunks: only new and changed chunks are embedded.
+
+    ``feed`` gives the changes where they are known, as from ``version_changes``; else the two versions are
+    compared whole.
+    """
     # Written once, as its two uses would compare the versions twice.
     spark, folder = index.sparkSession, work_dir(index.sparkSession, "feed")
-    feed = change_feed(old_chunks, new_chunks, [key])
+    feed = change_feed(old_chunks, new_chunks, [key]) if feed is None else feed
     feed.write.parquet(folder)
     feed = spark.read.schema(feed.schema).parquet(folder)
     gone = feed.filter(F.col("_change_type").isin("delete", "update_preimage")).select(key)

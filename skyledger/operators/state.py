@@ -10,13 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.once import with_once
 from ..functions.predicates import matching, matching_given, present
 from ..functions.text import natural_id
 from ..schemas import ALERT_TYPES, APP_TOOLS, CHANGE_TIME, CHANGE_TYPE, SERVED_TOOL_PREFIX
+from ..sources.files import make_folder
+from ..sources.versions import BUCKET, bucket_of
 from .flights import keep_first
 from .joins import join_unique, look_up, own_shuffle
 
@@ -90,6 +93,37 @@ def fold_changes(
     return untouched.unionByName(compact_history(every.filter("_changed").drop("_changed"), key, tie_break))
 
 
+def fold_into_buckets(
+    folder: str, changes: DataFrame, key: Sequence[str], tie_break: Sequence[str] = (), buckets: int = 256
+) -> list[int]:
+    """Fold a batch of changes into a compacted history kept below ``folder`` in hash buckets of the key.
+
+    Only buckets that hold a changed key are read and written; the files of the others stay as they
+    are. Returns the numbers of the buckets written. A batch folded again, as after a failure that left
+    some buckets written and others not, gives the same rows. One writer at a time; ``buckets`` must
+    stay the same, and enough that one bucket fits a task.
+    """
+    spark = changes.sparkSession
+    key = list(key)
+    columns = changes.columns
+    # At most as many numbers as there are buckets.
+    touched = sorted(row[0] for row in changes.select(bucket_of(key, buckets)).distinct().collect())
+    held = bucketed_history(spark, folder, changes.schema, touched)
+    # A key that changes often in the batch is cut to one row before it travels to its bucket.
+    incoming = compact_history(changes, key, tie_break).select(*columns, bucket_of(key, buckets))
+    every = held.unionByName(incoming).repartition(BUCKET)
+    folded = compact_history(every, [BUCKET, *key], tie_break).select(*columns, BUCKET)
+    folded.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(folder)
+    return touched
+
+
+def bucketed_history(spark: SparkSession, folder: str, schema: T.StructType, only: Sequence[int] | None = None) -> DataFrame:
+    """The compacted history kept by ``fold_into_buckets``, or some of its buckets, with their number."""
+    fields = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    held = spark.read.schema(fields).parquet(make_folder(spark, folder))
+    return held if only is None else held.filter(F.col(BUCKET).isin(list(only)))
+
+
 def changes(outcomes: DataFrame, columns: Sequence[str], change_type: str, at: str = "issued_at") -> DataFrame:
     """History rows of the commands that took effect."""
     return outcomes.filter(F.col("error").isNull()).select(

@@ -14,7 +14,7 @@ from ..functions.text import is_valid_email
 from ..operators import audit, chunking, flights, live, metrics, retrieval, state, transcripts
 from ..schemas import FLIGHT_LANDING
 from ..session import work_dir
-from ..sources import csv_flights, documents, landing, tables
+from ..sources import csv_flights, documents, landing, tables, versions
 from ..streaming.alerts import alert_sink, fired_schema, first_matches
 from ..streaming.run import drain, run_available, stream_session
 from ..streaming.sinks import batch_sink, committed
@@ -679,6 +679,29 @@ def change_feed(spark, sf_dir):
     return tables.change_feed(before, after, ["watch_id"])
 
 
+@query(ORACLES["change_feed"])
+def version_change_feed(spark, sf_dir):
+    """The same from two published versions, of which only buckets with unlike digests are read."""
+    folder = work_dir(spark, "watch-versions")
+    after = table(spark, sf_dir, "watches_after")
+    before = table(spark, sf_dir, "watched_flights_history").select(*after.columns)
+    numbers = [versions.publish_version(rows, folder, ["watch_id"], buckets=64) for rows in (before, after)]
+    return versions.version_changes(spark, folder, *numbers)
+
+
+@query(_BEFORE)
+def previous_version(spark, sf_dir):
+    """A version read after the next one was published and old ones were to go."""
+    folder = work_dir(spark, "held-versions")
+    after = table(spark, sf_dir, "watches_after")
+    before = table(spark, sf_dir, "watched_flights_history").select(*after.columns)
+    first = versions.publish_version(before, folder, ["watch_id"], buckets=16)
+    with versions.held_version(spark, folder, first) as rows:
+        versions.publish_version(after, folder, ["watch_id"], buckets=16)
+        versions.expire_versions(spark, folder, keep=1)
+        return rows
+
+
 # --- state -----------------------------------------------------------------------------------
 
 _PROFILES = """SELECT user_id, event_id, event_type, value FROM (
@@ -707,6 +730,16 @@ def fold_changes(spark, sf_dir):
     return state.live_rows(folded)
 
 
+@query(_PROFILES)
+def fold_batches_in_buckets(spark, sf_dir):
+    """Ten batches of changes, each folded into the buckets that it touches."""
+    folder = work_dir(spark, "profiles")
+    rows = table(spark, sf_dir, "profile_history")
+    for number in range(10):
+        state.fold_into_buckets(folder, rows.filter(F.col("event_id") % 10 == number), ["user_id"], buckets=32)
+    return state.live_rows(state.bucketed_history(spark, folder, rows.schema)).drop("_bucket")
+
+
 @query("""SELECT coalesce(CAST(u.user_id AS VARCHAR), sha256(concat('user|', e.email))) AS user_id, e.email,
                  coalesce(u.created_at, TIMESTAMP '2024-01-01 00:00:00') AS created_at, u.user_id IS NULL AS created
           FROM (SELECT DISTINCT email FROM {incoming_emails}) e LEFT JOIN {users} u ON u.email = e.email""")

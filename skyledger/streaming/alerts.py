@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.state import match_alerts
+from ..sources.files import make_folder
 from ..sources.tables import FILES_PER_BATCH, read_folder_stream
-from .sinks import BATCH, batch_sink, make_folder
+from .sinks import BATCH, batch_sink
 
 
 def alert_sink(load_watches: Callable[[], DataFrame], load_alerts: Callable[[], DataFrame], folder: str) -> Callable[[DataFrame, int], None]:

@@ -14,20 +14,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-BATCH = "batch"
-
-
-def _file_system(spark: SparkSession, path: str):
-    """The file system of a path, and what makes paths for it."""
-    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+from ..sources.files import file_system, make_folder
 
-
-def make_folder(spark: SparkSession, path: str) -> str:
-    """Creates a folder where there is none; a stream may only read one that exists."""
-    files, make = _file_system(spark, path)
-    files.mkdirs(make(path))
-    return path
+BATCH = "batch"
 
 
 def commit_folder(rows: DataFrame, folder: str, name: str) -> bool:
@@ -38,7 +27,7 @@ def commit_folder(rows: DataFrame, folder: str, name: str) -> bool:
     no other one is looked at.
     """
     spark = rows.sparkSession
-    files, make = _file_system(spark, folder)
+    files, make = file_system(spark, folder)
     target = make(f"{folder}/{name}")
     if files.exists(target):
         return False
