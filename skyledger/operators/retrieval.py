@@ -44,12 +44,12 @@ def embed_chunks(chunks: DataFrame, embedder: PipelineModel) -> DataFrame:
     return vectors.select(*chunks.columns, vector_to_array("_vector", "float32").alias("embedding"))
 
 
-def _unit_rows(values: np.ndarray) -> np.ndarray:
+def unit_rows(values: np.ndarray) -> np.ndarray:
     lengths = np.linalg.norm(values, axis=1, keepdims=True)
     return np.divide(values, lengths, out=np.zeros_like(values), where=lengths > 0)
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
+def matrix(column: pa.Array, width: int) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     if flat.size != len(column) * width:
         raise ValueError(f"every embedding must have {width} values")
@@ -67,7 +67,7 @@ def _search_block(
     spark = corpus.sparkSession
     width = len(block[0][1])
     shared = spark.sparkContext.broadcast(
-        ([row[0] for row in block], _unit_rows(np.array([row[1] for row in block], dtype=np.float64)))
+        ([row[0] for row in block], unit_rows(np.array([row[1] for row in block], dtype=np.float64)))
     )
     output = T.StructType([query_field, id_field, T.StructField("similarity", T.DoubleType())])
     id_name, names = id_field.name, output.names
@@ -79,14 +79,14 @@ def _search_block(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = _unit_rows(_matrix(batch.column("embedding"), width))
+            rows = unit_rows(matrix(batch.column("embedding"), width))
             scores = np.round(queries @ rows.T, SIMILARITY_DIGITS)
             cut = min(k, rows.shape[0])
             floors = np.partition(scores, rows.shape[0] - cut, axis=1)[:, rows.shape[0] - cut]
             query, row = np.nonzero(scores >= floors[:, None])
             ids = batch.column(id_name).to_numpy(zero_copy_only=False)
             found = [query, scores[query, row], ids[row]]
-            best = _keep_best([np.concatenate(pair) for pair in zip(best, found)] if best else found, k)
+            best = keep_best([np.concatenate(pair) for pair in zip(best, found)] if best else found, k)
         if best:
             query, score, ids = best
             columns = [[query_ids[place] for place in query], score, ids]
@@ -98,7 +98,7 @@ def _search_block(
     return corpus.select(id_name, "embedding").mapInArrow(search, output), shared
 
 
-def _keep_best(found: list[np.ndarray], k: int) -> list[np.ndarray]:
+def keep_best(found: list[np.ndarray], k: int) -> list[np.ndarray]:
     """The first ``k`` of each query by similarity, then id."""
     query, score, ids = found
     order = np.lexsort((np.unique(ids, return_inverse=True)[1], -score, query))
@@ -108,7 +108,7 @@ def _keep_best(found: list[np.ndarray], k: int) -> list[np.ndarray]:
     return [values[order[rank < k]] for values in found]
 
 
-def _comparable(rows: DataFrame) -> DataFrame:
+def comparable(rows: DataFrame) -> DataFrame:
     """Rows whose embedding is there and holds numbers only."""
     sound = F.forall("embedding", lambda value: value.isNotNull() & ~F.isnan(value))
     return rows.filter(F.col("embedding").isNotNull() & sound)
@@ -129,18 +129,25 @@ def topk_similar(
     number in it, are not compared. ``payload`` columns of the corpus (source document, section) come
     back with each hit, next to ``position``.
 
-    Queries are dealt to blocks of about ``QUERY_BLOCK``, however they were partitioned. The corpus
-    vectors are written once; each block makes one pass over them and its hits are written, too.
+    Up to ``QUERY_BLOCK`` queries make one pass over the corpus. More are dealt to blocks of about that
+    many, however they were partitioned; then the corpus vectors are written once, each block makes one
+    pass over them, and its hits are written, too.
     """
     spark = corpus.sparkSession
-    folder = work_dir(spark, "nearest")
     query_field, id_field = queries.schema[query_id], corpus.schema[corpus_id]
-    _comparable(queries.select(query_id, "embedding")).write.parquet(f"{folder}/queries")
-    _comparable(corpus.select(corpus_id, "embedding")).write.parquet(f"{folder}/corpus")
-    asked = spark.read.schema(queries.select(query_id, "embedding").schema).parquet(f"{folder}/queries")
-    vectors = spark.read.schema(corpus.select(corpus_id, "embedding").schema).parquet(f"{folder}/corpus")
     near = spark.createDataFrame([], T.StructType([query_field, id_field, T.StructField("similarity", T.DoubleType())]))
-    passes = -(-asked.count() // QUERY_BLOCK)
+    asked, vectors = comparable(queries.select(query_id, "embedding")), comparable(corpus.select(corpus_id, "embedding"))
+    few = asked.limit(QUERY_BLOCK + 1).collect()
+    passes = 0
+    if 0 < len(few) <= QUERY_BLOCK:
+        near, _ = _search_block(few, vectors, query_field, id_field, k)
+    elif few:
+        folder = work_dir(spark, "nearest")
+        asked.write.parquet(f"{folder}/queries")
+        vectors.write.parquet(f"{folder}/corpus")
+        asked = spark.read.schema(asked.schema).parquet(f"{folder}/queries")
+        vectors = spark.read.schema(vectors.schema).parquet(f"{folder}/corpus")
+        passes = -(-asked.count() // QUERY_BLOCK)
     for number in range(passes):
         block = asked.filter(F.pmod(F.xxhash64(query_id, "embedding"), F.lit(passes)) == number).collect()
         if block:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.lookups import create_lookup_functions
 from ..functions.text import is_valid_email
-from ..operators import audit, chunking, flights, live, metrics, retrieval, state, transcripts
+from ..operators import audit, chunking, clustered_search, flights, live, metrics, retrieval, state, transcripts
 from ..schemas import FLIGHT_LANDING
 from ..session import work_dir
 from ..sources import csv_flights, documents, landing, tables, versions
@@ -626,14 +626,26 @@ SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC
 FROM scored QUALIFY position <= 10""")
 def nearest_to_label_centre(spark, sf_dir):
     corpus = table(spark, sf_dir, "embeddings")
+    return retrieval.topk_similar(_centres(corpus), corpus, k=10, corpus_id="vec_id")
+
+
+def _centres(corpus: DataFrame) -> DataFrame:
     mean = (
         corpus.select("label", F.posexplode("embedding").alias("pos", "v"))
         .groupBy("label", "pos")
         .agg(F.avg("v").alias("v"))
     )
     centres = mean.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("pos", "v"))).alias("values"))
-    queries = centres.select(F.col("label").alias("query_id"), F.col("values.v").alias("embedding"))
-    return retrieval.topk_similar(queries, corpus, k=10, corpus_id="vec_id")
+    return centres.select(F.col("label").alias("query_id"), F.col("values.v").alias("embedding"))
+
+
+@query(ORACLES["nearest_to_label_centre"])
+def nearest_in_clusters(spark, sf_dir):
+    """The same from a corpus kept in clusters."""
+    corpus, folder = table(spark, sf_dir, "embeddings"), work_dir(spark, "clusters")
+    clustered_search.build_clusters(corpus, folder, corpus_id="vec_id", pivots=32)
+    found, _ = clustered_search.ClusteredCorpus(spark, folder).topk(_centres(corpus), k=10, corpus_id="vec_id")
+    return found
 
 
 def _published(spark, chunks) -> DataFrame:
