@@ -109,6 +109,15 @@ ADAPTERS = {
                CASE WHEN o_orderpriority = '5-LOW' THEN o_custkey ELSE CAST(floor(o_totalprice) AS BIGINT) END AS watch_3,
                o_orderdate AS issued_at
         FROM {orders}""",
+    "trip_rows": """
+        SELECT command_id AS trip_id, CASE WHEN watch_3 % 40 = 1 THEN NULL ELSE user_id END AS user_id, trip_name, issued_at AS created_at
+        FROM {trip_commands}""",
+    # Trips list watches that there are not, and some of them twice.
+    "trip_links": """
+        SELECT command_id AS trip_id, watch_1 AS watch_id FROM {trip_commands}
+        UNION ALL SELECT command_id AS trip_id, watch_2 AS watch_id FROM {trip_commands}
+        UNION ALL SELECT command_id + CASE WHEN watch_3 % 50 = 0 THEN 1000000000 ELSE 0 END AS trip_id, watch_3 AS watch_id
+                  FROM {trip_commands}""",
     "alert_commands": """
         SELECT event_id AS command_id, event_id + user_id * 50 AS watch_id,
                CASE event_type WHEN 'view' THEN 'delay_threshold' WHEN 'click' THEN 'gate_change'

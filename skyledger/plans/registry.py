@@ -600,6 +600,46 @@ def rejected_documents(spark, sf_dir):
     return documents.rejected_documents(scanned, parsed).select("path", "reason")
 
 
+def _document_folder(spark, sf_dir) -> str:
+    """A folder with a file per document: JSON files, whole or broken, and some of another kind."""
+    folder = work_dir(spark, "files")
+    texts = _document_texts(spark, sf_dir)
+    number = F.col("doc_id")
+
+    def write(rows: DataFrame, kind: str) -> None:
+        # Their number of rows cuts the files.
+        rows.write.mode("append").option("maxRecordsPerFile", 1).format(kind).save(folder)
+
+    whole = texts.filter((number % 13 != 5) & (number % 7 != 3))
+    lists = F.when(number % 11 == 4, F.lit("{}")).when(number % 17 == 6, F.lit('{"elements":[]}')).otherwise(F.get_json_object("content", "$.document"))
+    write(whole.select("doc_id", F.try_parse_json(lists).alias("document")), "json")
+    write(texts.filter(number % 13 == 5).select("content"), "text")
+    # Read as UTF-8, these are broken.
+    wide = texts.filter((number % 13 != 5) & (number % 7 == 3)).select("doc_id")
+    wide.write.mode("append").option("maxRecordsPerFile", 1).option("encoding", "UTF-16LE").json(folder)
+    return folder
+
+
+@query(f"""WITH {_LINES} SELECT source_document, element_id, element_type, content, element_id AS element_position FROM elements
+           JOIN {{documents}} ON source_document = concat('doc', CAST(doc_id AS VARCHAR))
+           WHERE element_type <> 'page_footer' AND doc_id % 13 <> 5 AND doc_id % 7 <> 3 AND doc_id % 11 <> 4 AND doc_id % 17 <> 6""")
+def scanned_document_elements(spark, sf_dir):
+    parsed = documents.parse_documents(spark, _document_folder(spark, sf_dir))
+    name = F.concat(F.lit("doc"), F.try_variant_get("parsed", "$.doc_id", "string"))
+    return chunking.flatten_elements(parsed.withColumn("path", name))
+
+
+@query("""SELECT reason, count(*) AS file_count FROM (
+    SELECT CASE WHEN doc_id % 13 = 5 THEN 'unknown file type'
+                WHEN doc_id % 7 = 3 THEN 'not read as JSON: broken, or above a limit of the parser'
+                WHEN doc_id % 11 = 4 THEN 'no list of elements' WHEN doc_id % 17 = 6 THEN 'no elements' END AS reason FROM {documents})
+    WHERE reason IS NOT NULL GROUP BY reason""")
+def rejected_files(spark, sf_dir):
+    folder = _document_folder(spark, sf_dir)
+    rejected = documents.rejected_documents(documents.scan_documents(spark, folder), documents.parse_documents(spark, folder))
+    return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("file_count"))
+
+
 def _pages(spark, sf_dir):
     return documents.parse_html(table(spark, sf_dir, "pages").select(F.col("url").alias("path"), "html"))
 
@@ -973,6 +1013,37 @@ def constraint_audit(spark, sf_dir):
     return audit.constraint_audit({"users": table(spark, sf_dir, "users"), "watched_flights": broken})
 
 
+_STATE_TABLES = {
+    "users": "users", "watched_flights": "watched_flights_history", "trip_plans": "trip_rows", "trip_flights": "trip_links",
+    "alerts": "event_alerts", "agent_action_log": "action_log_history",
+}
+
+
+def _state_audit_sql() -> str:
+    """Every rule of the six state tables, one count each."""
+    counts = []
+    for name, source in _STATE_TABLES.items():
+        rules, rows = audit.RULES[name], f"{{{source}}}"
+        counts += [_audit_sql(name, f"required {c}", f"SELECT count(*) FROM {rows} WHERE {c} IS NULL") for c in rules.required]
+        counts += [
+            _audit_sql(name, f"allowed {c}", f"SELECT count(*) FROM {rows} WHERE {c} NOT IN ({', '.join(repr(v) for v in values)})").replace("\"", "")
+            for c, values in rules.allowed.items()
+        ]
+        for key in rules.unique:
+            whole = " AND ".join(f"{c} IS NOT NULL" for c in key)
+            columns = ", ".join(key)
+            counts.append(_audit_sql(name, f"unique {columns}", f"SELECT count(*) FROM (SELECT {columns} FROM {rows} WHERE {whole} GROUP BY {columns} HAVING count(*) > 1)"))
+        for column, target in rules.references.items():
+            key = audit.RULES[target].unique[0][0]
+            counts.append(_audit_sql(name, f"references {column}", f"SELECT count(*) FROM {rows} r WHERE r.{column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {{{_STATE_TABLES[target]}}} t WHERE t.{key} = r.{column})"))
+    return " UNION ALL ".join(counts)
+
+
+@query(_state_audit_sql())
+def state_audit(spark, sf_dir):
+    return audit.constraint_audit({name: table(spark, sf_dir, source) for name, source in _STATE_TABLES.items()})
+
+
 # --- metrics ---------------------------------------------------------------------------------
 
 _INSERTS = "FROM {action_log_history} WHERE _pg_change_type = 'insert'"
