@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.ranks import dense_ranks
 from skyledger.llm.tables import stored
-from skyledger.llm.textscan import slices, thrifty
+from skyledger.llm.textscan import slices, small_batches, thrifty
 from skyledger.llm.tokens import encoder
 
 # Text encoded at a time; words are looked up once per distinct word of it.
@@ -150,10 +150,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id
                 if keep_ids:
                     columns, names = [*columns, pa.array(raw, pa.binary())], [*names, "ids"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
-        encoder(tokenizer).forget()
 
     schema = "id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if keep_ids else "")
-    texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    texts = small_batches(docs).select(F.col(id).alias("id"), F.col(text).alias("text"))
     return texts.mapInArrow(thrifty(encode), schema).withColumnRenamed("id", id)
 
 

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.textscan import U64, Names, flat_ranges, mix, slices, text_column, thrifty, word_bounds
+from skyledger.llm.textscan import U64, Names, flat_ranges, mix, slices, small_batches, text_column, thrifty, word_bounds
 
 NGRAMS = (3, 4)
 BUCKETS = 1 << 17  # the last one is the repeated word's
@@ -153,7 +153,7 @@ def score(docs: DataFrame, model: QualityModel, id: str = "doc_id", text: str =
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text, 4 << 20):
+            for part in slices(batch, text, 2 << 20):
                 index, distinct, words, again = coded_words(part.column(text))
                 buckets, offsets = word_features(distinct)
                 sums = np.concatenate(([0.0], np.cumsum(model.features[buckets])))
@@ -167,4 +167,4 @@ def score(docs: DataFrame, model: QualityModel, id: str = "doc_id", text: str =
 
     kept = [name for name in docs.columns if name != "score"] if carry else [id]
     schema = ", ".join(f"`{name}` {kind}" for name, kind in docs.select(*kept).dtypes) + ", score double"
-    return docs.select(*dict.fromkeys([*kept, text])).mapInArrow(thrifty(scan), schema)
+    return small_batches(docs).select(*dict.fromkeys([*kept, text])).mapInArrow(thrifty(scan), schema)

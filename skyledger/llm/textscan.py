@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 U64 = np.uint64
 # Odd bases of the two families of names and their inverses modulo 2**64.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+# Bytes of a batch of rows handed to Python, one row at least.
+BATCH_BYTES = 8 << 20
 # Space and the control characters 9 to 13 part words.
 SPACES = (9, 10, 11, 12, 13, 32)
 
@@ -100,6 +102,15 @@ def thrifty(scan):
     return run
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Bounds the bytes that the session hands to Python at a time, on both sides; the setting stays.
+
+    Spark's own bound is 64 MB, a copy of which each task holds in the JVM and another in its worker.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
+
+
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts a batch into runs of rows of at most ``most_bytes`` of text, one row at least."""
     if batch.num_rows == 0:

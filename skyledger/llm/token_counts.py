@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.textscan import slices, thrifty
+from skyledger.llm.textscan import slices, small_batches, thrifty
 from skyledger.llm.tokens import encoder, version_of
 from skyledger.operators.joins import own_shuffle
 from skyledger.session import work_dir
@@ -33,7 +33,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str
     version = version_of(tokenizer)
     cache = cache or work_dir(spark, "token-counts")
     normal = F.coalesce(F.col(text), F.lit(""))
-    keyed = docs.select(F.col(id), normal.alias("text"), F.sha2(normal, 256).alias("digest"))
+    keyed = small_batches(docs).select(F.col(id), normal.alias("text"), F.sha2(normal, 256).alias("digest"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -43,7 +43,6 @@ def count_tokens(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str
                 yield pa.RecordBatch.from_arrays(
                     [part.column("digest"), versions, pa.array(counts)], names=["digest", "version", "n_tokens"]
                 )
-        encoder(tokenizer).forget()
 
     distinct = keyed.select("digest", "text").dropDuplicates(["digest"])
     try:

@@ -18,8 +18,9 @@ import pyarrow as pa
 
 from skyledger.llm.textscan import SPACES, flat_ranges, process_cache, text_column
 
-# Words kept during a task; at the limit the cache starts anew.
-KEPT_WORDS = 200_000
+# Words of a generation of the cache, and their bytes with those of their ids; two generations are kept.
+KEPT_WORDS = 120_000
+KEPT_BYTES = 8 << 20
 WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 PLAIN_WORD = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:|#%&$*]*)")
 
@@ -60,12 +61,20 @@ class WordEncoder:
         # Both kinds of file map bytes to letters; one keeps spaces and case, the other drops them.
         self.lower = self.tokenizer.normalizer is not None
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {"": b""}
+        self.held = 0
 
-    def forget(self) -> None:
-        """Empties the cache of words."""
-        self.words = {}
-        self.pieces = {"": b""}
+    def keep(self, part: bytes, ids: bytes) -> bytes:
+        self.words[part] = ids
+        self.held += len(part) + len(ids)
+        return ids
+
+    def turn(self, coming: int) -> None:
+        """Lets go of the words that were not met since the last turn, if those to come need room."""
+        if len(self.words) + coming > KEPT_WORDS or self.held > KEPT_BYTES:
+            self.older, self.words, self.held = self.words, {}, 0
+            self.pieces = {"": b""}
 
     def piece(self, text: str) -> bytes:
         """Ids of one piece that the splitting rule leaves whole."""
@@ -88,19 +97,20 @@ class WordEncoder:
 
     def parts(self, distinct: list[bytes]) -> list[bytes]:
         """Ids of each part, from the cache where it has them."""
-        if len(self.words) + len(distinct) > KEPT_WORDS:
-            self.forget()
+        self.turn(len(distinct))
         found = [self.words.get(part) for part in distinct]
         odd = []
         for place, ids in enumerate(found):
             if ids is None:
-                ids = found[place] = self.word(distinct[place])
+                part = distinct[place]
+                ids = self.older.get(part)
+                ids = self.word(part) if ids is None else ids
                 if ids is None:
                     odd.append(place)
                 else:
-                    self.words[distinct[place]] = ids
+                    found[place] = self.keep(part, ids)
         for place, ids in zip(odd, self.encode([distinct[place].decode() for place in odd])):
-            found[place] = self.words[distinct[place]] = ids
+            found[place] = self.keep(distinct[place], ids)
         return found
 
     def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
@@ -149,7 +159,7 @@ def part_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def encoder(path: str) -> WordEncoder:
-    """The worker's encoder for a file; tasks share it, and empty its cache of words when they end."""
+    """The worker's encoder for a file, which its tasks share with its cache of words."""
     kept = process_cache("encoders")
     if path not in kept:
         kept[path] = WordEncoder(path)
