@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.textscan import U64, Names, flat_ranges, mix, slices, small_batches, text_column, thrifty, word_bounds
+from skyledger.llm.textscan import U64, Names, flat_ranges, give_back, mix, slices, small_batches, text_column, thrifty, word_bounds
 
 NGRAMS = (3, 4)
 BUCKETS = 1 << 17  # the last one is the repeated word's
@@ -141,7 +141,11 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
         for row in docs.where(F.col(id).isin(ids)).select(F.col(id).alias("id"), F.col(text).alias("text")).collect():
             texts.setdefault(row.id, []).append(row.text or "")
     pairs = sorted((row.id, int(row.label), one) for row in chosen for one in texts.get(row.id, ()))
-    return fit([one for _, _, one in pairs], np.array([label for _, label, _ in pairs], dtype=np.int64))
+    model = fit([one for _, _, one in pairs], np.array([label for _, label, _ in pairs], dtype=np.int64))
+    del texts, pairs
+    # The driver keeps nothing of the sample while the job goes on.
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: QualityModel, id: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:

@@ -94,14 +94,19 @@ def thrifty(scan):
 
     def run(batches):
         yield from scan(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        if sys.platform == "linux":
-            ctypes.CDLL(None).malloc_trim(0)
+        give_back()
 
     return run
 
 
+def give_back() -> None:
+    """Gives memory that is free in this process back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """Bounds the bytes that the session hands to Python at a time, on both sides; the setting stays.
 
