@@ -35,6 +35,7 @@ def rotation(length: int, seed: int) -> np.ndarray:
 def build_index(rows: DataFrame, id: str = "vec_id", vector: str = "embedding", seed: int = 7) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     """The stored codes (id, vector, signs, norm, share) of all usable rows, the centre, the rotation."""
     sound, length = usable_rows(rows, id, vector)
+    sound = sound.dropDuplicates(["id", "vector"])
     means = [F.avg(F.col("vector")[place].cast("double")).alias(f"m{place}") for place in range(length)]
     centre = np.array([value or 0.0 for value in (sound.agg(*means).first() if length else ())], dtype=float)
     turn = rotation(length, seed) if length else np.zeros((0, 0))
@@ -136,7 +137,8 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, id: str = "vec_id"
 
     ``queries`` has the columns of ``rows``; a row of the query's own id is no answer. Ties go to the
     smaller id. A query with fewer candidates gets them all. Vectors that are null, empty, zero, of
-    an unusual length, or that hold null or non-finite components take no part. Ids are unique.
+    an unusual length, or that hold null or non-finite components take no part. Repeated rows count once.
+    Different vectors of one id are answers of their own; as queries they share one ranking.
     Blocks of about ``block`` queries visit all codes, one pass after another; each task returns at
     most ``k`` rows per query.
     """
@@ -144,7 +146,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, id: str = "vec_id"
     index, centre, turn = build_index(rows, id, vector)
     length = len(centre)
     asked, asked_length = usable_rows(queries, id, vector)
-    asked = stored(asked.where(F.size("vector") == length), "queries")
+    asked = stored(asked.where(F.size("vector") == length).dropDuplicates(["id", "vector"]), "queries")
     passes = -(-asked.count() // block)
     found = spark.createDataFrame([], "query_id long, vec_id long, score double")
     for number in range(passes):

@@ -125,3 +125,17 @@ def test_all_vectors_of_a_repeated_id_count(spark):
     found = sorted(map(tuple, near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()))
     two = [(2, 3, 1, False)] * 3
     assert found == [(1, 1, 1, True)] * 2 + two + [(3, 2, 1, False), (4, 1, 4, True), (5, 1, 4, False)]
+
+
+def test_repeated_rows_count_once(spark):
+    random = np.random.default_rng(3)
+    rows = [(number, random.normal(size=8).tolist()) for number in range(40)]
+    once = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    often = spark.createDataFrame(rows + rows[::2] + rows[:5] * 3, "vec_id long, embedding array<float>").repartition(5)
+    wanted = nearest(once, once.where("vec_id % 10 = 0"), k=10).collect()
+    found = nearest(often, often.where("vec_id % 10 = 0"), k=10).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, wanted)) and len(found) == 40
+    # Another vector of an id is another answer, and an id is none to itself.
+    moved = often.unionByName(spark.createDataFrame([(7, rows[20][1]), (20, rows[7][1])], "vec_id long, embedding array<float>"))
+    first = [row for row in nearest(moved, once.where("vec_id = 20"), k=2).collect() if row["rank"] == 1]
+    assert [(row.vec_id, row.score) for row in first] == [(7, 0.0)]
