@@ -16,14 +16,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.components import components, local_roots
+from skyledger.llm.id_filter import key_bits, maybe_asked, with_mark
 from skyledger.llm.tables import stored
 from skyledger.llm.textscan import U64, Names, flat_ranges, lower_ascii, mix, packed_texts, slices, text_column, thrifty, unpacked, word_bounds, word_names
 from skyledger.operators.joins import own_shuffle
 
 # Sets of one block; larger meetings are cut into pairs of blocks.
 BLOCK = 256
-# Sets that may share an n-gram for its pairs to be counted.
-FEW = 8
+# Sets that may share an n-gram for its pairs to be counted: 31 / 2 pairs of two numbers per set are
+# far less than its prefix, which travels to each meeting of more.
+FEW = 32
 # Most frequent n-grams that are known to be so; all others are ordered by their names.
 FREQUENT = 1 << 19
 # N-grams among which a task looks for frequent ones, and how often it must see one.
@@ -138,14 +140,17 @@ def meetings(classes: DataFrame, percent: int) -> DataFrame:
     rows = classes.select("class", F.explode("prefix").alias("name"))
     by_name = Window.partitionBy("name").orderBy("class")
     met = rows.withColumn("host", F.first("class").over(by_name)).withColumn("number", F.count("*").over(Window.partitionBy("name")))
-    earlier = F.filter(F.array(*[F.lag("class", step).over(by_name) for step in range(1, FEW)]), lambda one: one.isNotNull())
+    earlier = F.collect_list("class").over(by_name.rowsBetween(-(FEW - 1), -1))
     met = met.withColumn("earlier", F.when(F.col("number") <= FEW, earlier)).where("number > 1")
     met = stored(met.select("class", "host", "number", "earlier"), "met")
     many = met.where(F.col("number") > FEW).select("class", "host").distinct()
-    sent = units(many).select(F.col("id").alias("class"), F.explode("units").alias("unit"))
-    prefixes = classes.select("class", "size", packed_prefix("prefix").alias("names"))
-    sent = sent.join(own_shuffle(prefixes, ["class"]), "class").select("unit.*", F.col("class").alias("id"), "names", "size")
-    many = at_units(sent).mapInArrow(thrifty(by_unit(with_partner(percent), ["class", "host"])), "class long, host long").distinct()
+    asked = stored(units(many).withColumnRenamed("id", "class"), "prefix-units")
+    # One row per class on both sides, so no key is frequent; only classes that meet are moved.
+    prefixes = maybe_asked(classes, asked, "class").select("class", "size", "prefix")
+    sent = asked.join(prefixes, "class").select("class", "size", packed_prefix("prefix").alias("names"), F.explode("units").alias("unit"))
+    sent = sent.select("unit.*", F.col("class").alias("id"), "names", "size")
+    many = at_units(sent).mapInArrow(thrifty(by_unit(with_partner(percent), ["class", "host"])), "class long, host long")
+    many = stored(many.distinct(), "met-by-prefix")
     counted = met.where(F.col("number") <= FEW).select(F.explode("earlier").alias("a"), F.col("class").alias("b"))
     counted = counted.groupBy("a", "b").agg(F.count("*").alias("shared"))
     # The last n-gram of the prefix, as a number whose signed order is the global one.
@@ -159,11 +164,24 @@ def meetings(classes: DataFrame, percent: int) -> DataFrame:
     needed = F.ceil((size_a + size_b) * percent / (100 + percent) - F.lit(1e-6))
     possible = F.col("shared") >= first["taken"] - (first["size"] - needed)
     alike = F.least(size_a, size_b) * 100 >= F.greatest(size_a, size_b) * percent
-    pairs = counted.where(possible & alike)
+    pairs = not_together(stored(counted.where(possible & alike).select("a", "b"), "pairs"), many)
     few = pairs.select(F.col("b").alias("class"), F.col("a").alias("host")).unionByName(pairs.select(F.col("a").alias("class"), F.col("a").alias("host")))
     return many.unionByName(few).distinct()
 
 
+def not_together(pairs: DataFrame, many: DataFrame) -> DataFrame:
+    """The pairs (a, b), a being less, without those whose sets meet under another host anyway.
+
+    ``many`` has the meetings (class, host) besides the pairs. If the least host of both is the same,
+    and neither of them, each meets the other there: a group of copies then meets once, not pair by pair.
+    """
+    hosts = pairs.select(F.col("b").alias("class"), F.col("a").alias("host")).unionByName(pairs.select(F.col("a").alias("class"), F.col("a").alias("host")))
+    least = stored(hosts.unionByName(many).groupBy("class").agg(F.min("host").alias("host")), "least-hosts")
+    for side in ("a", "b"):
+        pairs = pairs.join(own_shuffle(least.select(F.col("class").alias(side), F.col("host").alias(f"host_{side}")), [side]), side)
+    return pairs.where("a = host_b OR host_a <> host_b").select("a", "b")
+
+
 def units(met: DataFrame) -> DataFrame:
     """Where each set goes: (id, units), a unit being a host and a pair of its blocks."""
     sizes = met.groupBy("host").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
@@ -401,9 +419,15 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id: str =
     classes = known.groupBy(*identity).agg(F.min("id").alias("class"))
     same = known.select("id", *identity).join(own_shuffle(classes, identity), identity).select("id", "class")
     same = stored(same.distinct(), "equal-sets")
-    speakers = known.join(own_shuffle(same.where("id = class").select("id"), ["id"]), "id", "left_semi")
-    goes = units(stored(meetings(speakers.select(F.col("id").alias("class"), "size", "prefix"), percent), "meetings"))
-    rows = packed_texts(texts).join(goes, "id").select("id", "packed", "n_bytes", "units").mapInArrow(thrifty(unit_rows(n, sent)), UNIT_SCHEMA)
+    # One row of each set speaks for it; only rows that may be copies are moved to tell.
+    marked = with_mark(known, key_bits(same.where("id <> class"), "id"), "id").select("id", "size", "prefix", "_asked")
+    # Ids are unique there; a semi join would be pushed below the filter and move all rows.
+    named = marked.where("_asked").join(own_shuffle(same.where("id = class").select("id"), ["id"]), "id")
+    speakers = marked.where("NOT _asked").unionByName(named)
+    speakers = stored(speakers.select(F.col("id").alias("class"), "size", "prefix"), "classes")
+    goes = stored(units(stored(meetings(speakers, percent), "meetings")), "units")
+    asked = packed_texts(maybe_asked(texts, goes, "id")).join(goes, "id").select("id", "packed", "n_bytes", "units")
+    rows = asked.mapInArrow(thrifty(unit_rows(n, sent)), UNIT_SCHEMA)
     links = stored(at_units(rows).mapInArrow(thrifty(by_unit(linked(percent), ["a", "b"])), "a long, b long"), "links")
     groups = components(links).withColumnRenamed("id", "class")
     found = same.join(own_shuffle(groups, ["class"]), "class", "left")

@@ -9,7 +9,7 @@ import pytest
 
 from skyledger.llm import jaccard_join
 from skyledger.llm.components import components, local_roots
-from skyledger.llm.jaccard_join import Trie, jaccard_components, overlap_needed, prefix_length, prefix_overlap_needed
+from skyledger.llm.jaccard_join import Trie, jaccard_components, not_together, overlap_needed, prefix_length, prefix_overlap_needed
 
 from .samples import documents, frame
 
@@ -77,6 +77,21 @@ def test_frequent_ngrams_change_nothing_but_the_order(spark, monkeypatch):
     assert sorted(tuple(row) for row in found.collect()) == brute(rows, 3, 80)
 
 
+def test_groups_of_copies_meet_once_and_keep_all_links(spark):
+    draw = random.Random(11)
+    pairs = {tuple(sorted(draw.sample(range(60), 2))) for _ in range(300)}
+    many = [(at, 5) for at in range(5, 25, 3)]
+    frame_of = lambda found, schema: spark.createDataFrame(sorted(found), schema)
+    kept = {tuple(row) for row in not_together(frame_of(pairs, "a long, b long"), frame_of(many, "class long, host long")).collect()}
+    at_host: dict[int, set[int]] = {}
+    for a, b in kept:
+        at_host.setdefault(a, {a}).add(b)
+    for member, host in many:
+        at_host.setdefault(host, set()).add(member)
+    assert kept < pairs
+    assert all(any(a in there and b in there for there in at_host.values()) for a, b in pairs)
+
+
 def test_trie_finds_all_pairs():
     draw = random.Random(2)
     for _ in range(60):
