@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.components import components, local_roots
@@ -127,6 +127,11 @@ def set_rows(texts: DataFrame, n: int, percent: int, sent) -> DataFrame:
     return texts.mapInArrow(thrifty(scan), "id long, size long, sum_a long, sum_b long, prefix array<long>")
 
 
+def sizes_alike(a: Column, b: Column, percent: int) -> Column:
+    """Whether sets of these sizes can be alike enough."""
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+
+
 def meetings(classes: DataFrame, percent: int) -> DataFrame:
     """Which sets meet under which host: (class, host), for sets (class, size, prefix).
 
@@ -134,14 +139,15 @@ def meetings(classes: DataFrame, percent: int) -> DataFrame:
     of them. N-grams of fewer sets are counted for each of their pairs, and a pair meets under its
     lesser set if the count allows the similarity: all n-grams that the set with the earlier prefix end
     shares there with the other one are in the other's prefix, too, so they are all counted, unless one
-    of them brought the two together already. Where many meet, their prefixes are compared in a trie
-    first, and only sets that may have a partner there stay.
+    of them brought the two together already. Sets too different in size make no pair. Where many meet,
+    their prefixes are compared in a trie first, and only sets that may have a partner there stay.
     """
-    rows = classes.select("class", F.explode("prefix").alias("name"))
+    rows = classes.select("class", "size", F.explode("prefix").alias("name"))
     by_name = Window.partitionBy("name").orderBy("class")
     met = rows.withColumn("host", F.first("class").over(by_name)).withColumn("number", F.count("*").over(Window.partitionBy("name")))
-    earlier = F.collect_list("class").over(by_name.rowsBetween(-(FEW - 1), -1))
+    earlier = F.collect_list(F.struct("class", "size")).over(by_name.rowsBetween(-(FEW - 1), -1))
     met = met.withColumn("earlier", F.when(F.col("number") <= FEW, earlier)).where("number > 1")
+    met = met.withColumn("earlier", F.filter("earlier", lambda other: sizes_alike(other["size"], F.col("size"), percent))["class"])
     met = stored(met.select("class", "host", "number", "earlier"), "met")
     many = met.where(F.col("number") > FEW).select("class", "host").distinct()
     asked = stored(units(many).withColumnRenamed("id", "class"), "prefix-units")
@@ -163,8 +169,7 @@ def meetings(classes: DataFrame, percent: int) -> DataFrame:
     first = F.when(F.col("set_a.last") <= F.col("set_b.last"), F.col("set_a")).otherwise(F.col("set_b"))
     needed = F.ceil((size_a + size_b) * percent / (100 + percent) - F.lit(1e-6))
     possible = F.col("shared") >= first["taken"] - (first["size"] - needed)
-    alike = F.least(size_a, size_b) * 100 >= F.greatest(size_a, size_b) * percent
-    pairs = not_together(stored(counted.where(possible & alike).select("a", "b"), "pairs"), many)
+    pairs = not_together(stored(counted.where(possible).select("a", "b"), "pairs"), many)
     few = pairs.select(F.col("b").alias("class"), F.col("a").alias("host")).unionByName(pairs.select(F.col("a").alias("class"), F.col("a").alias("host")))
     return many.unionByName(few).distinct()
 
