@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.textscan import U64, Names, flat_ranges, give_back, mix, slices, small_batches, text_column, thrifty, word_bounds
+from skyledger.llm.textscan import U64, Names, flat_ranges, forget_cache, give_back, mix, slices, small_batches, text_column, thrifty, word_bounds
 
 NGRAMS = (3, 4)
 BUCKETS = 1 << 17  # the last one is the repeated word's
@@ -156,8 +156,10 @@ def score(docs: DataFrame, model: QualityModel, id: str = "doc_id", text: str =
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A worker may have packed tokens before; its tokenizers are of no use here.
+        forget_cache("encoders")
         for batch in batches:
-            for part in slices(batch, text, 2 << 20):
+            for part in slices(batch, text):
                 index, distinct, words, again = coded_words(part.column(text))
                 buckets, offsets = word_features(distinct)
                 sums = np.concatenate(([0.0], np.cumsum(model.features[buckets])))

@@ -36,6 +36,12 @@ def process_cache(name: str) -> dict:
     return sys.modules.setdefault(f"_skyledger_{name}", types.ModuleType(name)).__dict__
 
 
+def forget_cache(name: str) -> None:
+    """Lets go of a ``process_cache`` that an earlier step left in this worker."""
+    if sys.modules.pop(f"_skyledger_{name}", None):
+        give_back()
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """Spreads the bits of 64-bit values; equal values stay equal, different ones differ."""
     x = values ^ (values >> U64(30))
