@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from skyledger.functions.text import is_valid_email, strip_space, words
 from skyledger.operators.chunking import chunk_by_section, flatten_elements
 from skyledger.sources.documents import parse_documents, parse_html, parse_json_documents, rejected_documents, scan_documents
+from skyledger.sources.files import make_folder, write_each
 
 ELEMENTS = "source_document string, element_id int, element_type string, content string"
 HEADINGS = ("title", "section_header")
@@ -212,3 +213,14 @@ def test_open_margins_end_where_content_starts(spark):
         "nav": [("title", "Real"), ("text", "body")], "unseen": [("text", "seen")],
         "header": [("title", "Title"), ("text", "x")], "footer": [("text", "x")],
     }
+
+
+def test_each_row_is_written_to_a_file_of_its_own_by_the_tasks(spark, tmp_path):
+    folder = make_folder(spark, str(tmp_path / "each"))
+    kinds = {0: "txt", 1: "json", 2: "json"}
+    rows = [(kinds[n % 3], b"" if n == 5 else b"text %d\n" % n) for n in range(300)]
+    write_each(spark.createDataFrame(rows, "extension string, content binary").repartition(5), folder)
+    # No digests or leftovers beside them.
+    found = [(path.suffix[1:], path.read_bytes()) for path in (tmp_path / "each").iterdir()]
+    assert sorted(found) == sorted(rows)
+    assert scan_documents(spark, folder, "*.json").filter("length(content) > 0").count() == 199
