@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.once import with_once
 from ..functions.text import strip_space, words
 from ..schemas import CONTENT_TYPES, FIRST_SECTION, HEADING_TYPES, MAX_CHUNK_WORDS
+from ..session import work_dir
 
 # Blocks of elements without an id come after those with one.
 _AFTER_IDS = 2**40
@@ -117,6 +118,12 @@ def chunk_by_section(
         )
     )
 
+    # Written once, as the totals and the elements would each parse, shuffle and sort all of it.
+    spark, folder = inside.sparkSession, work_dir(inside.sparkSession, "blocks")
+    inside = inside.drop("element_id", "element_position", "heading", "name", "previous_section_at")
+    inside.write.parquet(folder)
+    inside = spark.read.schema(inside.schema).parquet(folder)
+
     # Along the document, one row per block. words_0, section_0, name_0 and pieces_0 are the words
     # before the block, the word at which the open section began, its name, and the chunks of all
     # sections closed before the block. first_pieces belongs to the section that the first heading

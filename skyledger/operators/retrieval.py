@@ -184,9 +184,12 @@ def sync_index(
     # Written once, as its two uses would compare the versions twice.
     spark, folder = index.sparkSession, work_dir(index.sparkSession, "feed")
     feed = change_feed(old_chunks, new_chunks, [key]) if feed is None else feed
+    # Of rows that go, nothing but the key is read.
+    comes = F.col("_change_type").isin("insert", "update_postimage")
+    feed = feed.withColumns({name: F.when(comes, F.col(name)) for name in feed.columns if name not in (key, "_change_type")})
     feed.write.parquet(folder)
     feed = spark.read.schema(feed.schema).parquet(folder)
     gone = feed.filter(F.col("_change_type").isin("delete", "update_preimage")).select(key)
-    fresh = feed.filter(F.col("_change_type").isin("insert", "update_postimage"))
+    fresh = feed.filter(comes)
     kept = index.join(gone, key, "left_anti")
     return kept.unionByName(embed(fresh.select(*new_chunks.columns)).select(*index.columns))
