@@ -224,3 +224,19 @@ def test_each_row_is_written_to_a_file_of_its_own_by_the_tasks(spark, tmp_path):
     found = [(path.suffix[1:], path.read_bytes()) for path in (tmp_path / "each").iterdir()]
     assert sorted(found) == sorted(rows)
     assert scan_documents(spark, folder, "*.json").filter("length(content) > 0").count() == 199
+
+
+def test_chunking_reads_its_elements_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = [(f"doc{n % 40}", n // 40, n // 40, "title" if n % 9 == 0 else "text", f"word {n}") for n in range(2000)]
+    elements = spark.createDataFrame(rows, "source_document string, element_position int, element_id int, element_type string, content string")
+    chunks = chunk_by_section(elements.mapInPandas(count, elements.schema), max_words=7, block_elements=8)
+    words_kept = chunks.selectExpr("sum(size(split(chunk_text, ' ')))").first()[0]
+    assert words_kept == 2 * sum(row[3] == "text" for row in rows)
+    assert seen.value == len(rows)
