@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.llm.id_filter import key_bits, with_mark
 from skyledger.llm.jaccard_join import jaccard_components
 from skyledger.llm.mixing import mix_sources
 from skyledger.llm.packing import pack
@@ -38,8 +39,11 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     found = stored(jaccard_components(docs, n=5, percent=80), "groups").where("doc_id IS NOT NULL")
     repeated = stored(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
     if repeated.isEmpty():
-        dropped = found.where("doc_id <> component_id").select("doc_id")
-        return docs.select(*COLUMNS).join(own_shuffle(dropped, ["doc_id"]), "doc_id", "left_anti").select(*COLUMNS)
+        dropped = found.where("doc_id <> component_id").select("doc_id", F.lit(True).alias("_dropped"))
+        # Only rows that may go are moved; an anti join would be pushed below the filter and move all.
+        marked = with_mark(docs.select(*COLUMNS), key_bits(dropped, "doc_id"), "doc_id")
+        asked = marked.where("_asked").join(own_shuffle(dropped, ["doc_id"]), "doc_id", "left").where("_dropped IS NULL")
+        return marked.where("NOT _asked").select(*COLUMNS).unionByName(asked.select(*COLUMNS))
     named = docs.where("doc_id IS NOT NULL").select(*COLUMNS, F.xxhash64("doc_id", F.col("text").isNull(), "text").alias("name"))
     found = stored(jaccard_components(named, n=5, percent=80, id="name"), "groups").select("name", "component_id").distinct()
     ids = named.select("name", "doc_id").distinct()
