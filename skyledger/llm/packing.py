@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.ranks import dense_ranks
 from skyledger.llm.tables import stored
-from skyledger.llm.textscan import slices, small_batches, thrifty
+from skyledger.llm.textscan import forget_cache, slices, small_batches, thrifty
 from skyledger.llm.tokens import encoder
 
 # Text encoded at a time; words are looked up once per distinct word of it.
@@ -123,6 +123,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_cache("powers")
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 ids, offsets = encoder(tokenizer).ids(part.column("text"))

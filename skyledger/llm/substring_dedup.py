@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from skyledger.llm import repeats
 from skyledger.llm.anchors import Anchors, find_anchors
-from skyledger.llm.repeats import anchor_rows, gathered, repeated_windows, run_marks
+from skyledger.llm.repeats import anchor_rows, cut_runs, repeated_windows, run_marks
 from skyledger.llm.tables import stored
-from skyledger.llm.textscan import U64, flat_ranges, mix, packed_texts, thrifty, unpacked, word_bounds, word_names
+from skyledger.llm.textscan import U64, flat_ranges, mix, text_parts, word_bounds, word_names
 
 # Rounds as (longest symbol that takes part, longest run that gets a name; 0: no runs), in words.
 ROUNDS = ((1, 2), (1, 0), (2, 0), (2, 0))
@@ -108,12 +108,11 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", widt
     ids = anchors.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("last"), F.count("*").alias("rows"))
     shared = stored(ids.where("least < last").select("key", "rows"), "shared")
     frequent = shared.where(F.col("rows") > repeats.MANY).select("key")
-    packed = packed_texts(texts)
-    runs = repeated_windows(packed, anchors, shared.select("key"), frequent, read_words, width, earlier=True)
+    runs = repeated_windows(texts, anchors, shared.select("key"), frequent, read_words, width, earlier=True)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offsets in unpacked(batch):
+            for part, data, offsets in text_parts(batch):
                 starts, ends, words = word_bounds(data, offsets)
                 gone = run_marks(part.column("runs"), words, width)
                 stay = np.flatnonzero(~gone)
@@ -137,7 +136,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", widt
     carried = [f"carry_{name}" for name in carry]
     kinds = "".join(f", `{name}` {kind}" for name, kind in texts.select(*carried).dtypes)
     schema = f"id long, kept string, n_words long, n_removed long, runs array<struct<start:int,n:int>>{kinds}"
-    found = packed.join(gathered(runs), "id", "left").select("id", "packed", "n_bytes", "runs", *carried).mapInArrow(thrifty(cut), schema)
+    found = cut_runs(texts, runs, cut, schema)
     return found.select(F.col("id").alias(id), *found.columns[1:5], *(F.col(f"carry_{name}").alias(name) for name in carry))
 
 
