@@ -21,8 +21,12 @@ from skyledger.llm.vectors import matrix, usable_rows
 
 # Standard deviations of the estimate that a vector must miss by to be passed over.
 CONFIDENCE = 3.0
-# Vectors whose estimates are made at a time.
+# Vectors and queries whose estimates are made at a time, and pairs that are measured at a time.
 CHUNK = 1024
+QUERIES = 512
+PAIRS = 4096
+# Where more than one pair in so many is open, a matrix product tells first which ones are far.
+FEW = 64
 
 
 def rotation(length: int, seed: int) -> np.ndarray:
@@ -66,6 +70,14 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
+def within(queries: np.ndarray, vectors: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """False for pairs of query and row that are farther apart than the query's ``reach`` for certain."""
+    # The product is off by far less than the share of the sizes taken off here. What overflows stays in.
+    from_query = (queries**2).sum(axis=1) * (1 - 1e-9) - reach**2 * (1 + 1e-9)
+    from_row = (vectors**2).sum(axis=1) * (1 - 1e-9)
+    return ~(queries @ vectors.T < (from_query / 2)[:, None] + from_row / 2)
+
+
 def search_batch(sent, centre: np.ndarray, turn: np.ndarray, k: int):
     """The k nearest rows of a task for each query of a block: (query_id, vec_id, score)."""
 
@@ -74,7 +86,7 @@ def search_batch(sent, centre: np.ndarray, turn: np.ndarray, k: int):
         length, size = queries.shape[1], len(turn)
         away = queries - centre
         query_norm = np.sqrt((away**2).sum(axis=1))
-        turned = (away @ turn.T / np.sqrt(size)).astype(np.float32)
+        turned = np.column_stack((away @ turn.T / np.sqrt(size), query_norm)).astype(np.float32)
         best_score = np.full((len(queries), k), np.inf)
         best_id = np.zeros((len(queries), k), dtype=np.int64)
         for batch in batches:
@@ -85,20 +97,25 @@ def search_batch(sent, centre: np.ndarray, turn: np.ndarray, k: int):
                 norm, share = part.column("norm").to_numpy(), part.column("share").to_numpy()
                 packed = np.frombuffer(b"".join(part.column("signs").to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
                 signs = np.unpackbits(packed, axis=1).astype(np.float32) * 2 - 1
-                # Estimated squared distance and what it may be off by, for all queries and rows.
-                inner = turned @ (signs * (norm / share)[:, None].astype(np.float32)).T
                 error = norm * np.sqrt(np.maximum(1 - share**2, 0)) / share * CONFIDENCE / np.sqrt(max(size - 1, 1))
-                least = query_norm[:, None] ** 2 + norm**2 - 2 * (inner + query_norm[:, None] * error)
-                if len(ids) > k:
-                    # The likeliest ones first: they set a bound that spares most of the others.
-                    likely = np.argpartition(least, k, axis=1)[:, :k]
-                else:
-                    likely = np.tile(np.arange(len(ids)), (len(queries), 1))
-                open_pairs = np.zeros(least.shape, dtype=bool)
-                np.put_along_axis(open_pairs, likely, True, axis=1)
-                rerank(open_pairs, query_ids, queries, ids, vectors, best_score, best_id)
-                rest = (least <= best_score[:, -1:] ** 2 * (1 + 1e-9)) & ~open_pairs
-                rerank(rest, query_ids, queries, ids, vectors, best_score, best_id)
+                scaled = np.column_stack((signs * (norm / share)[:, None].astype(np.float32), error.astype(np.float32))).T
+                for start in range(0, len(queries), QUERIES):
+                    some = slice(start, start + QUERIES)
+                    # Views: what is put among the best of these queries is put among the best of all.
+                    score, found = best_score[some], best_id[some]
+                    # Estimated squared distance less what it may be off by, for these queries and rows.
+                    least = query_norm[some, None] ** 2 + norm**2
+                    least -= 2 * (turned[some] @ scaled)
+                    if len(ids) > k:
+                        # The likeliest ones first: they set a bound that spares most of the others.
+                        likely = np.argpartition(least, k, axis=1)[:, :k]
+                    else:
+                        likely = np.tile(np.arange(len(ids)), (len(least), 1))
+                    open_pairs = np.zeros(least.shape, dtype=bool)
+                    np.put_along_axis(open_pairs, likely, True, axis=1)
+                    rerank(open_pairs, query_ids[some], queries[some], ids, vectors, score, found)
+                    rest = (least <= score[:, -1:] ** 2 * (1 + 1e-9)) & ~open_pairs
+                    rerank(rest, query_ids[some], queries[some], ids, vectors, score, found)
         row, place = np.nonzero(np.isfinite(best_score))
         yield pa.RecordBatch.from_arrays(
             [pa.array(query_ids[row]), pa.array(best_id[row, place]), pa.array(best_score[row, place])],
@@ -111,12 +128,15 @@ def search_batch(sent, centre: np.ndarray, turn: np.ndarray, k: int):
 def rerank(pairs: np.ndarray, query_ids, queries, ids, vectors, best_score, best_id) -> None:
     """Puts the marked pairs of query and row in their place among the best so far."""
     k = best_score.shape[1]
-    query, row = np.nonzero(pairs)
+    if np.count_nonzero(pairs) * FEW > pairs.size:
+        pairs = pairs & within(queries, vectors, best_score[:, -1])
+    query, row = np.divmod(np.flatnonzero(pairs), pairs.shape[1])
     other = query_ids[query] != ids[row]
     query, row = query[other], row[other]
     if not len(query):
         return
-    score = distances(queries[query], vectors[row])
+    pieces = [slice(first, first + PAIRS) for first in range(0, len(query), PAIRS)]
+    score = np.concatenate([distances(queries[query[piece]], vectors[row[piece]]) for piece in pieces])
     touched = np.unique(query)
     old = np.isfinite(best_score[touched])
     at, place = np.nonzero(old)
@@ -144,6 +164,8 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, id: str = "vec_id"
     """
     spark = rows.sparkSession
     index, centre, turn = build_index(rows, id, vector)
+    # Tasks as the cores need them, as each returns rows of every query.
+    index = index.coalesce(4 * spark.sparkContext.defaultParallelism)
     length = len(centre)
     asked, asked_length = usable_rows(queries, id, vector)
     asked = stored(asked.where(F.size("vector") == length).dropDuplicates(["id", "vector"]), "queries")

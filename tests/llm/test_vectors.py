@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
+import types
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from skyledger.llm.cover_tree import TILE, CoverTree, distinct_points, near_duplicates, near_pairs, unit
-from skyledger.llm.nearest import nearest
+from skyledger.llm.nearest import nearest, rotation, search_batch, within
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -82,6 +85,42 @@ def test_nearest_match_brute_force(spark):
     assert hits / total >= 0.99
 
 
+def test_search_keeps_its_memory_bounded_however_many_pairs_are_open():
+    """Vectors without structure leave most pairs of a chunk open; they are measured a bounded number at a time."""
+    random = np.random.default_rng(9)
+    points, queries = unit(random.normal(size=(1024, 64))), unit(random.normal(size=(2048, 64)))
+    turn = rotation(64, 7)
+    turned = points @ turn.T
+    columns = [
+        pa.array(range(1024)),
+        pa.array(points.tolist()),
+        pa.array([row.tobytes() for row in np.packbits(turned > 0, axis=1)]),
+        pa.array(np.ones(1024)),
+        pa.array(np.abs(turned).sum(axis=1) / 8),
+    ]
+    batch = pa.RecordBatch.from_arrays(columns, names=["id", "vector", "signs", "norm", "share"])
+    sent = types.SimpleNamespace(value=(np.arange(2048) + 5000, queries))
+    tracemalloc.start()
+    (found,) = search_batch(sent, np.zeros(64), turn, 10)(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+    away = ((points[None, :, :8] - queries[:, None, :8]) ** 2).sum(axis=2)
+    for place in range(8, 64, 8):
+        away += ((points[None, :, place : place + 8] - queries[:, None, place : place + 8]) ** 2).sum(axis=2)
+    wanted = {(query + 5000, row) for query, best in enumerate(np.argpartition(away, 10, axis=1)[:, :10]) for row in best}
+    pairs = set(zip(found.column("query_id").to_pylist(), found.column("vec_id").to_pylist()))
+    assert len(pairs) == 20480 and len(pairs & wanted) >= 0.99 * len(wanted)
+
+
+def test_pairs_are_passed_over_only_where_they_are_too_far():
+    random = np.random.default_rng(2)
+    queries, points = random.normal(size=(40, 6)), np.concatenate((random.normal(size=(60, 6)) * 2, np.full((1, 6), 1e200)))
+    away = np.sqrt(((queries[:, None] - points) ** 2).sum(axis=2))
+    near = within(queries, points, np.where(np.arange(40) < 20, np.median(away, axis=1), np.inf))
+    assert near[20:].all() and (near[:20] == (away[:20] <= np.median(away, axis=1)[:20, None]))[:, :60].all()
+
+
 def test_few_candidates_ties_and_empty(spark):
     rows = [(0, [1.0, 0.0], 0), (100, [1.0, 0.0], 0), (3, [0.0, 1.0], 0), (2, [2.0, 1.0], 0)]
     df = spark.createDataFrame(rows, SCHEMA)
