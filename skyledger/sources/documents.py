@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import files
+
+# Folders of a pattern are dealt to so many tasks for each core, and to more where one would get more than so many.
+TASKS_PER_CORE = 8
+FOLDERS_PER_TASK = 32
+# Files read at a time: until they have so many bytes, or are so many.
+BATCH_BYTES = 4 << 20
+BATCH_ROWS = 1000
+
 ELEMENTS = "array<struct<id int, type string, content string>>"
 
 # Element type of each HTML tag, and tags whose text is never content.
@@ -114,10 +126,50 @@ def _read_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"path": batch["path"], "elements": elements})
 
 
-def scan_documents(spark: SparkSession, folder: str, names: str = "*") -> DataFrame:
-    """Every file of a folder whose name matches the glob ``names``, as (path, content)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(folder)
-    return files.select("path", "content")
+def _scan_folders(spark: SparkSession, folders: list[str], names: str, content: bool) -> DataFrame:
+    """The same of many folders, each listed and read by a task; the driver sees none of their files."""
+    wanted = re.compile(spark.sparkContext._jvm.org.apache.hadoop.fs.GlobPattern(names).compiled().pattern(), re.DOTALL)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number in batch.column("id").to_pylist():
+                folder = folders[number]
+                store, root = files.opened(folder)
+                rows, held = [], 0
+                for info in store.get_file_info(fs.FileSelector(root)):
+                    # As Spark lists a folder: no hidden files, and none of no bytes.
+                    if not info.is_file or not info.size or files.hidden(info.base_name) or not wanted.fullmatch(info.base_name):
+                        continue
+                    row = {"path": f"{folder}/{info.base_name}", "length": info.size}
+                    if content:
+                        with store.open_input_stream(info.path, compression=None) as file:
+                            row["content"] = file.read()
+                        held += info.size
+                    rows.append(row)
+                    if held >= BATCH_BYTES or len(rows) == BATCH_ROWS:
+                        yield pa.RecordBatch.from_pylist(rows, schema)
+                        rows, held = [], 0
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, schema)
+
+    schema = pa.schema([("path", pa.string()), *[("content", pa.binary())] * content, ("length", pa.int64())])
+    tasks = min(len(folders), max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, -(-len(folders) // FOLDERS_PER_TASK)))
+    dealt = spark.range(0, len(folders), numPartitions=tasks)
+    return dealt.mapInArrow(scan, "path string, content binary, length long" if content else "path string, length long")
+
+
+def scan_documents(spark: SparkSession, folder: str, names: str = "*", content: bool = True) -> DataFrame:
+    """Every file of a folder whose name matches the glob ``names``, as (path, content).
+
+    ``folder`` may be a pattern of folders. Those are listed and read by tasks, in stores that a task can open, without
+    folders below them; else Spark keeps the status of every file in the driver. Without ``content`` the files are only
+    listed, as (path, length).
+    """
+    columns = ["path", "content" if content else "length"]
+    folders = files.folders_of(spark, folder)
+    if folders:
+        return _scan_folders(spark, folders, names, content).select(columns)
+    return spark.read.format("binaryFile").option("pathGlobFilter", names).load(folder).select(columns)
 
 
 def _as_document(elements: Column) -> Column:
@@ -161,7 +213,7 @@ def parse_documents(spark: SparkSession, folder: str) -> DataFrame:
 def rejected_documents(scanned: DataFrame, parsed: DataFrame) -> DataFrame:
     """(path, length, reason) of every scanned document that gives no element.
 
-    ``scanned`` has path and content, ``parsed`` is the result of parsing it. Accepted and rejected
+    ``scanned`` has path and content or length, ``parsed`` is the result of parsing it. Accepted and rejected
     documents add up to the scanned ones. Spark does not list files of no bytes.
     """
     kind = _kind(F.col("path"))
@@ -173,5 +225,6 @@ def rejected_documents(scanned: DataFrame, parsed: DataFrame) -> DataFrame:
         .when(F.col("_elements").isNull(), "no list of elements")
         .when(F.col("_elements") == 0, "no elements")
     )
-    sized = scanned.select("path", F.octet_length("content").cast("long").alias("length"))
+    length = F.octet_length("content").cast("long") if "content" in scanned.columns else F.col("length")
+    sized = scanned.select("path", length.alias("length"))
     return sized.join(outcome, "path", "left").select("path", "length", reason.alias("reason")).filter("reason IS NOT NULL")

@@ -226,6 +226,40 @@ def test_each_row_is_written_to_a_file_of_its_own_by_the_tasks(spark, tmp_path):
     assert scan_documents(spark, folder, "*.json").filter("length(content) > 0").count() == 199
 
 
+def test_folders_of_a_pattern_are_listed_and_read_by_tasks(spark, tmp_path):
+    rows = [("json" if n % 3 else "HTM", b"" if n % 50 == 7 else b"<p>text %d\n" % n) for n in range(90)]
+    make_folder(spark, str(tmp_path / "all" / "none"))
+    write_each(spark.createDataFrame(rows, "extension string, content binary").repartition(3), str(tmp_path / "all"), per_folder=8)
+    folders = [path for path in (tmp_path / "all").iterdir() if path.name != "none"]
+    assert len(folders) >= 12 and max(len(list(path.iterdir())) for path in folders) <= 8
+    for name in (".hidden.json", "_hidden.json", "_a=b.json", "with space.json", "late._COPYING_"):
+        (folders[0] / name).write_text("x")
+    (folders[1] / "below").mkdir()
+    (folders[1] / "below" / "deep.json").write_text("x")
+    pattern = str(tmp_path / "all" / "*")
+    for names in ("*", "*.[jJ][sS][oO][nN]", "*.{[hH][tT][mM][lL],[hH][tT][mM]}", "part-0000[!1]-00000000?-*"):
+        wanted = spark.read.format("binaryFile").option("pathGlobFilter", names).load(pattern).select("path", "content").collect()
+        found = scan_documents(spark, pattern, names)
+        # The driver lists no file.
+        assert found.inputFiles() == [] and wanted
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted))
+        assert sorted(map(tuple, scan_documents(spark, pattern, names, content=False).collect())) == sorted((row.path, len(row.content)) for row in wanted)
+    rejected = rejected_documents(scan_documents(spark, pattern, content=False), parse_documents(spark, pattern))
+    again = rejected_documents(scan_documents(spark, pattern), parse_documents(spark, pattern))
+    assert sorted(map(tuple, rejected.collect())) == sorted(map(tuple, again.collect()))
+    assert rejected.count() == 61 and {len(row) for row in rejected.collect()} == {3}
+
+
+def test_a_pattern_that_matches_files_is_read_by_spark(spark, tmp_path):
+    (tmp_path / "a.json").write_text("{}")
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "b.json").write_text("[1]")
+    found = scan_documents(spark, str(tmp_path / "*"))
+    assert {row.path.rsplit("/", 1)[1] for row in found.collect()} == {"a.json", "b.json"}
+    assert [tuple(row)[1] for row in scan_documents(spark, str(tmp_path / "a.json"), content=False).collect()] == [2]
+    assert scan_documents(spark, str(tmp_path / "s*")).count() == 1
+
+
 def test_chunking_reads_its_elements_once(spark):
     seen = spark.sparkContext.accumulator(0)
 
